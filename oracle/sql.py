@@ -234,12 +234,12 @@ PARTS: dict[str, str] = {
              AND r.event_date = s.session_start::DATE
             GROUP BY 1) d
         LEFT JOIN (SELECT session_start::DATE AS event_date, landing_page, count(*) AS n
-                   FROM land WHERE landing_page IS NOT NULL GROUP BY ALL
+                   FROM land WHERE landing_page IS NOT NULL GROUP BY 1, 2
                    QUALIFY row_number() OVER (PARTITION BY session_start::DATE
                                               ORDER BY count(*) DESC, landing_page) = 1) l
           ON l.event_date = d.event_date
         LEFT JOIN (SELECT session_start::DATE AS event_date, traffic_source, count(*) AS n
-                   FROM attrib WHERE traffic_source IS NOT NULL GROUP BY ALL
+                   FROM attrib WHERE traffic_source IS NOT NULL GROUP BY 1, 2
                    QUALIFY row_number() OVER (PARTITION BY session_start::DATE
                                               ORDER BY count(*) DESC, traffic_source) = 1) a
           ON a.event_date = d.event_date""",
@@ -313,7 +313,7 @@ PARTS: dict[str, str] = {
 
 _MODE = """
     SELECT user_pseudo_id, {page} AS page FROM wide WHERE user_pseudo_id IS NOT NULL
-    GROUP BY ALL
+    GROUP BY 1, 2
     QUALIFY row_number() OVER (PARTITION BY user_pseudo_id
                                ORDER BY count(*) DESC, {page} ASC NULLS LAST) = 1"""
 

@@ -8,45 +8,41 @@ from pyspark.sql import functions as F
 from .numbers import double_text, safe_double, safe_product
 
 
-def value_text(value: Column) -> Column:
-    """The first filled field of a parameter value, as text: string, int, float, double."""
-    return F.coalesce(
-        value["string_value"],
-        value["int_value"].cast("string"),
-        double_text(value["float_value"]),
-        double_text(value["double_value"]),
-    )
+def value_text(value: str) -> str:
+    """SQL: the first filled field of a parameter value, as text: string, int, float, double."""
+    return f"""coalesce({value}.string_value, cast({value}.int_value AS string),
+        {double_text(f'{value}.float_value')}, {double_text(f'{value}.double_value')})"""
 
 
-def _largest(params: Column, key: str, read) -> Column:
-    matching = F.filter(params, lambda p: p["key"] == key)
-    return F.array_max(F.transform(matching, lambda p: read(p["value"])))
+def _largest(params: str, key: str, reading: str) -> Column:
+    return F.expr(
+        f"array_max(transform(filter({params}, p -> p.key = '{key}'), p -> {reading}))"
+    )
 
 
-def param_text(params: Column, key: str) -> Column:
+def param_text(params: str, key: str) -> Column:
     """Largest text among the event's parameters of that key, NULL when it has none."""
-    return _largest(params, key, value_text)
+    return _largest(params, key, value_text("p.value"))
 
 
-def param_int(params: Column, key: str) -> Column:
+def param_int(params: str, key: str) -> Column:
     """Largest ``int_value`` among the event's parameters of that key."""
-    return _largest(params, key, lambda value: value["int_value"])
+    return _largest(params, key, "p.value.int_value")
 
 
-def param_number(params: Column, key: str) -> Column:
+def param_number(params: str, key: str) -> Column:
     """Largest numeric reading among the event's parameters of that key."""
-    return _largest(params, key, lambda value: safe_double(value_text(value)))
+    return _largest(params, key, safe_double(value_text("p.value")))
 
 
-def item_count(items: Column) -> Column:
-    """Number of items on the event; 0 for a NULL or empty array."""
-    return F.when(items.isNull(), F.lit(0)).otherwise(F.size(items)).cast("long")
+def item_count(items: str) -> Column:
+    """Number of items on the event; 0 for a NULL array."""
+    return F.expr(f"cast(CASE WHEN {items} IS NULL THEN 0 ELSE size({items}) END AS bigint)")
 
 
-def item_total(items: Column) -> Column:
+def item_total(items: str) -> Column:
     """Sum of price x quantity over the event's items, NULL when no item has a value."""
-    values = F.filter(
-        F.transform(items, lambda i: safe_product(i["price"], i["quantity"])),
-        lambda v: v.isNotNull(),
+    values = f"filter(transform({items}, i -> {safe_product('i.price', 'i.quantity')}), v -> v IS NOT NULL)"
+    return F.expr(
+        f"CASE WHEN size({values}) > 0 THEN aggregate({values}, 0D, (total, v) -> total + v) END"
     )
-    return F.when(F.size(values) > 0, F.aggregate(values, F.lit(0.0), lambda total, v: total + v))

@@ -1,41 +1,39 @@
-"""Instants and civil times from integer microseconds, independent of the session time zone."""
+"""Instants and civil times from integer microseconds, independent of the session time zone.
 
-from __future__ import annotations
+Each takes and gives SQL expression text.
+"""
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
+from __future__ import annotations
 
 MICROS_PER_SECOND = 1_000_000
 MICROS_PER_MINUTE = 60 * MICROS_PER_SECOND
 
 
-def instant(micros: Column) -> Column:
+def instant(micros: str) -> str:
     """Microseconds since the epoch as a TIMESTAMP."""
-    return F.timestamp_micros(micros)
+    return f"timestamp_micros({micros})"
 
 
-def civil(micros: Column) -> Column:
+def civil(micros: str) -> str:
     """Microseconds since the epoch as a UTC wall-clock TIMESTAMP_NTZ."""
-    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
-    return F.timestamp_add("MICROSECOND", micros, epoch)
+    return f"timestampadd(MICROSECOND, {micros}, TIMESTAMP_NTZ'1970-01-01 00:00:00')"
 
 
-def utc_day(micros: Column) -> Column:
+def utc_day(micros: str) -> str:
     """UTC calendar day of an instant."""
-    return F.to_date(civil(micros))
+    return f"to_date({civil(micros)})"
 
 
-def parse_day(text: Column) -> Column:
+def parse_day(text: str) -> str:
     """``YYYYMMDD`` text as a DATE; bad text is an error under ANSI mode."""
-    return F.to_date(text, "yyyyMMdd")
+    return f"to_date({text}, 'yyyyMMdd')"
 
 
-def whole_seconds(start: Column, end: Column) -> Column:
+def whole_seconds(start: str, end: str) -> str:
     """Whole seconds between two instants given in microseconds."""
-    span = end - start
-    return ((span - span % MICROS_PER_SECOND) / MICROS_PER_SECOND).cast("long")
+    return f"(({end}) - ({start})) div {MICROS_PER_SECOND}"
 
 
-def floor_to(micros: Column, width: int) -> Column:
-    """Start of the ``width``-wide time slice that holds the instant."""
-    return micros - F.pmod(micros, F.lit(width))
+def floor_to(number: str, width: int) -> str:
+    """Largest multiple of ``width`` that is not above the number."""
+    return f"({number}) - pmod({number}, {width}L)"

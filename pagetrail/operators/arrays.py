@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.params import param_text, value_text
@@ -15,7 +15,7 @@ def flatten_params(df: DataFrame, keep: Sequence[str], params: str = "event_para
     return df.select(*keep, F.explode(params).alias("_p")).select(
         *keep,
         F.col("_p.key").alias("param_name"),
-        value_text(F.col("_p.value")).alias("param_value"),
+        F.expr(value_text("_p.value")).alias("param_value"),
     )
 
 
@@ -40,10 +40,5 @@ def pivot_params(
     The arrays are read inside the row, so only the wanted values are shuffled, and they are
     combined before the shuffle.
     """
-    read = df.select(*by, *[typed(F.col(params), key).alias(name) for name, key in keys.items()])
+    read = df.select(*by, *[typed(params, key).alias(name) for name, key in keys.items()])
     return read.groupBy(*by).agg(*[F.max(name).alias(name) for name in keys])
-
-
-def largest_of(columns: Sequence[str], window) -> dict[str, Column]:
-    """Each column replaced by its largest value in the window."""
-    return {name: F.max(name).over(window) for name in columns}

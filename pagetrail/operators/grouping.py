@@ -8,22 +8,34 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def earliest(order: Column, value: Column, where: Column | None = None) -> Column:
-    """Aggregate: smallest (order, value) pair among the rows that qualify."""
-    pair = F.struct(order.alias("at"), value.alias("value"))
-    return F.min(pair if where is None else F.when(where, pair))
+def earliest(order: str, value: str, where: str = "true") -> str:
+    """SQL aggregate: smallest ``(at, value)`` pair among the rows that qualify."""
+    return f"min(CASE WHEN {where} THEN named_struct('at', {order}, 'value', {value}) END)"
 
 
-def latest(order: Column, value: Column, where: Column | None = None) -> Column:
-    """Aggregate: largest (order, value) pair among the rows that qualify."""
-    pair = F.struct(order.alias("at"), value.alias("value"))
-    return F.max(pair if where is None else F.when(where, pair))
+def latest(order: str, value: str, where: str = "true") -> str:
+    """SQL aggregate: largest ``(at, value)`` pair among the rows that qualify."""
+    return f"max(CASE WHEN {where} THEN named_struct('at', {order}, 'value', {value}) END)"
+
+
+def first_filled(order: str, value: str, where: str = "true") -> str:
+    """SQL aggregate: the value that is not NULL and comes first."""
+    return f"{earliest(order, value, f'{where} AND {value} IS NOT NULL')}.value"
+
+
+def last_filled(order: str, value: str, where: str = "true") -> str:
+    """SQL aggregate: the value that is not NULL and comes last."""
+    return f"{latest(order, value, f'{where} AND {value} IS NOT NULL')}.value"
+
+
+def top1(weight: str, value: str, where: str = "true") -> str:
+    """SQL aggregate: value of the largest weight, ties to the smallest value, NULL value last."""
+    ranked = f"named_struct('rank', -{weight}, 'empty', {value} IS NULL, 'value', {value})"
+    return f"min(CASE WHEN {where} THEN {ranked} END).value"
 
 
 def _packed(order: Sequence[str], cols: Sequence[str]) -> Column:
-    return F.struct(
-        F.struct(*order).alias("at"), F.struct(*cols).alias("value")
-    )
+    return F.struct(F.struct(*order).alias("at"), F.struct(*cols).alias("value"))
 
 
 def first_in_group(
@@ -46,22 +58,14 @@ def first_non_null(
     df: DataFrame, group: Sequence[str], order: str, cols: Sequence[str]
 ) -> DataFrame:
     """Per group and column on its own: the first value that is not NULL."""
-    firsts = [
-        earliest(F.col(order), F.col(c), F.col(c).isNotNull())["value"].alias(c) for c in cols
-    ]
-    return df.groupBy(*group).agg(*firsts)
-
-
-def top1(weight: Column, value: Column, where: Column | None = None) -> Column:
-    """Aggregate: value of the largest weight, ties to the smallest value, NULL value last."""
-    ranked = F.struct((-weight).alias("rank"), value.isNull().alias("empty"), value.alias("value"))
-    return F.min(ranked if where is None else F.when(where, ranked))["value"]
+    return df.groupBy(*group).agg(*[F.expr(f"{first_filled(order, c)} AS {c}") for c in cols])
 
 
 def top1_per_group(
     df: DataFrame, group: Sequence[str], weight: str, value: str, name: str
 ) -> DataFrame:
-    return df.groupBy(*group).agg(top1(F.col(weight), F.col(value)).alias(name))
+    """Value of the largest weight per group."""
+    return df.groupBy(*group).agg(F.expr(f"{top1(weight, value)} AS {name}"))
 
 
 def mode_per_group(df: DataFrame, group: Sequence[str], col: str, name: str) -> DataFrame:
@@ -84,14 +88,10 @@ def funnel(
     """
     hit = df.filter(F.col(event).isin(*{name for _, name, _ in steps}))
     firsts = hit.groupBy(*group).agg(
-        *[F.min(F.when(F.col(event) == name, F.col(ts))).alias(f"_s{i}")
+        *[F.expr(f"min(CASE WHEN {event} = '{name}' THEN {ts} END) AS _s{i}")
           for i, (_, name, _) in enumerate(steps)]
     )
-    rows = F.array(
-        *[F.struct(F.lit(step).alias("step_name"), F.lit(order).cast("long").alias("step_order"),
-                   F.col(f"_s{i}").alias("step_timestamp"))
-          for i, (step, _, order) in enumerate(steps)]
-    )
-    return (
-        firsts.select(*group, F.inline(rows)).filter(F.col("step_timestamp").isNotNull())
-    )
+    rows = ", ".join(f"'{step}', {order}L, _s{i}" for i, (step, _, order) in enumerate(steps))
+    return firsts.selectExpr(
+        *group, f"stack({len(steps)}, {rows}) AS (step_name, step_order, step_timestamp)"
+    ).filter("step_timestamp IS NOT NULL")

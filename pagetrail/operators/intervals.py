@@ -26,13 +26,9 @@ def interval_join(
     touch, so the join is an equi-join on (key, bin): a key with very many points is spread over
     its bins, and each point meets only the intervals of its own bin. ``how`` is inner or left.
     """
-    left = points.withColumn("_bin", floor_to(F.col(point), width))
-    right = intervals.filter(F.col(start) <= F.col(end)).withColumn(
-        "_bin",
-        F.explode(
-            F.sequence(floor_to(F.col(start), width), floor_to(F.col(end), width), F.lit(width))
-        ),
-    )
+    left = points.selectExpr("*", f"{floor_to(point, width)} AS _bin")
+    bins = f"sequence({floor_to(start, width)}, {floor_to(end, width)}, {width}L)"
+    right = intervals.filter(F.col(start) <= F.col(end)).selectExpr("*", f"explode({bins}) AS _bin")
     left, right = left.alias("p"), right.alias("i")
     matched = left.join(
         right,

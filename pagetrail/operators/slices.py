@@ -12,28 +12,31 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.fixed import GAP_MINUTES
 from ..functions.times import MICROS_PER_MINUTE, floor_to
 
-SLICE = "slice"
-
 
 def gap_micros(gap_minutes: int = GAP_MINUTES) -> int:
     """Smallest gap that opens a new session: ``gap_minutes`` whole minutes are exceeded."""
     return (gap_minutes + 1) * MICROS_PER_MINUTE
 
 
-def user_key(user: Column) -> Column:
-    """Non-NULL form of a user id, so that events without a user can be joined too."""
-    return F.coalesce(F.concat(F.lit("u"), user), F.lit("n"))
+def slice_start(ts: str, width: int) -> str:
+    """SQL: start of the slice that holds the instant."""
+    return floor_to(ts, width)
+
+
+def user_key(user: str) -> str:
+    """SQL: non-NULL form of a user id, so that events without a user can be joined too."""
+    return f"coalesce('u' || {user}, 'n')"
 
 
-def user_of(key: Column) -> Column:
-    """The user id behind a key, NULL for events without a user."""
-    return F.when(key != "n", F.substring(key, F.lit(2), F.length(key)))
+def user_of(key: str) -> str:
+    """SQL: the user id behind a key, NULL for events without a user."""
+    return f"CASE WHEN {key} <> 'n' THEN substring({key}, 2) END"
 
 
 def number_sessions(
@@ -44,48 +47,40 @@ def number_sessions(
     gap_minutes: int = GAP_MINUTES,
 ) -> DataFrame:
     """Add session number, first and last instant to rows of one (user, slice) each."""
-    in_order = Window.partitionBy(user).orderBy(first)
-    gap = F.col(first) - F.lag(last).over(in_order)
-    opens = F.coalesce(gap >= gap_micros(gap_minutes), F.lit(True)).cast("long")
-    session = Window.partitionBy(user, "session_number")
-    return (
-        slices.withColumn("_opens", opens)
-        .withColumn("session_number", F.sum("_opens").over(in_order))
-        .drop("_opens")
-        .withColumn("session_first", F.min(first).over(session))
-        .withColumn("session_last", F.max(last).over(session))
+    in_order = f"OVER (PARTITION BY {user} ORDER BY {first})"
+    in_session = f"OVER (PARTITION BY {user}, session_number)"
+    opened = slices.selectExpr(
+        "*",
+        f"""CASE WHEN {first} - lag({last}) {in_order} < {gap_micros(gap_minutes)}L
+                 THEN 0L ELSE 1L END AS _opens""",
+    )
+    numbered = opened.selectExpr(*slices.columns, f"sum(_opens) {in_order} AS session_number")
+    return numbered.selectExpr(
+        "*",
+        f"min({first}) {in_session} AS session_first",
+        f"max({last}) {in_session} AS session_last",
     )
 
 
-def count_before(amount: str, group: Sequence[str | Column], order: str) -> Column:
-    """Total of ``amount`` in the rows of the group that come before this one."""
-    before = (
-        Window.partitionBy(*group)
-        .orderBy(order)
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
-    return F.coalesce(F.sum(amount).over(before), F.lit(0))
+def count_before(amount: str, group: str, order: str) -> str:
+    """SQL: total of ``amount`` in the rows of the group that come before this one."""
+    return f"""coalesce(sum({amount}) OVER (PARTITION BY {group} ORDER BY {order}
+                   ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0L)"""
 
 
-def sessionize(
-    df: DataFrame, user: str, ts: str, gap_minutes: int = GAP_MINUTES
-) -> DataFrame:
+def sessionize(df: DataFrame, user: str, ts: str, gap_minutes: int = GAP_MINUTES) -> DataFrame:
     """Add ``session_number, session_start, session_end`` (microseconds) to events.
 
     Events without a user are numbered as one user of their own.
     """
-    keyed = df.withColumn("_key", user_key(F.col(user))).withColumn(
-        "_slice", floor_to(F.col(ts), gap_micros(gap_minutes))
+    keyed = df.selectExpr(
+        "*", f"{user_key(user)} AS _key", f"{slice_start(ts, gap_micros(gap_minutes))} AS _slice"
     )
     slices = keyed.groupBy("_key", "_slice").agg(
         F.min(ts).alias("first_ts"), F.max(ts).alias("last_ts")
     )
-    numbered = number_sessions(slices, "_key", gap_minutes=gap_minutes).select(
-        "_key",
-        "_slice",
-        "session_number",
-        F.col("session_first").alias("session_start"),
-        F.col("session_last").alias("session_end"),
+    numbered = number_sessions(slices, "_key", gap_minutes=gap_minutes).selectExpr(
+        "_key", "_slice", "session_number", "session_first AS session_start", "session_last AS session_end"
     )
     return keyed.join(numbered, ["_key", "_slice"]).drop("_key", "_slice")
 
@@ -103,17 +98,12 @@ def index_in_group(
     A group of any size is numbered slice by slice: a position inside the slice plus the number of
     rows in earlier slices. Group columns must not be NULL.
     """
-    sliced = df.withColumn("_slice", floor_to(F.col(ts), width or gap_micros()))
-    unit = [*group, "_slice"]
-    sizes = sliced.groupBy(*unit).agg(F.count(F.lit(1)).alias("_size"))
-    offsets = sizes.select(*unit, count_before("_size", group, "_slice").alias("_before"))
-    local = F.row_number().over(Window.partitionBy(*unit).orderBy(ts, *ties))
-    return (
-        sliced.withColumn("_local", local)
-        .join(offsets, unit)
-        .withColumn(name, (F.col("_local") + F.col("_before")).cast("long"))
-        .drop("_slice", "_local", "_before")
-    )
+    whole, order = ", ".join(group), ", ".join([ts, *ties])
+    sliced = df.selectExpr("*", f"{slice_start(ts, width or gap_micros())} AS _slice")
+    sizes = sliced.groupBy(*group, "_slice").agg(F.count(F.lit(1)).alias("_size"))
+    offsets = sizes.selectExpr(*group, "_slice", f"{count_before('_size', whole, '_slice')} AS _before")
+    placed = sliced.selectExpr("*", f"row_number() OVER (PARTITION BY {whole}, _slice ORDER BY {order}) AS _local")
+    return placed.join(offsets, [*group, "_slice"]).selectExpr(*df.columns, f"_local + _before AS {name}")
 
 
 def follow(
@@ -130,19 +120,17 @@ def follow(
     ``unit`` names bounded pieces, each inside one group. Inside a unit the next row is a window
     lookup; the last row of a unit takes the first value of the group's next unit.
     """
-    inside = Window.partitionBy(*unit).orderBy(order)
-    across = Window.partitionBy(*group).orderBy(unit_order)
+    inside = f"OVER (PARTITION BY {', '.join(unit)} ORDER BY {order})"
+    across = f"OVER (PARTITION BY {', '.join(group)} ORDER BY {unit_order})"
     firsts = df.groupBy(*dict.fromkeys([*unit, *group])).agg(
         F.min(F.struct(order, value)).alias("_first")
     )
-    nexts = firsts.select(*unit, F.lead(F.col("_first")[value]).over(across).alias("_next"))
-    ends = F.lead(order).over(inside).isNull()
-    return (
-        df.withColumn("_ends", ends)
-        .withColumn("_inside", F.lead(value).over(inside))
-        .join(nexts, list(unit), "left")
-        .withColumn(name, F.when(F.col("_ends"), F.col("_next")).otherwise(F.col("_inside")))
-        .drop("_ends", "_inside", "_next")
+    nexts = firsts.selectExpr(*unit, f"lead(_first.{value}) {across} AS _next")
+    looked = df.selectExpr(
+        "*", f"lead({order}) {inside} IS NULL AS _ends", f"lead({value}) {inside} AS _inside"
+    )
+    return looked.join(nexts, list(unit), "left").selectExpr(
+        *df.columns, f"CASE WHEN _ends THEN _next ELSE _inside END AS {name}"
     )
 
 
@@ -152,8 +140,8 @@ def transitions(
     order: str,
     value: str,
     name: str = "next_value",
-    width: int | None = None,
+    width: int = 100_000,
 ) -> DataFrame:
     """Add the value of the group's next row. ``order`` is a unique integer position per group."""
-    chunk = df.withColumn("_chunk", floor_to(F.col(order), width or 100_000))
+    chunk = df.selectExpr("*", f"{floor_to(order, width)} AS _chunk")
     return follow(chunk, [*group, "_chunk"], group, "_chunk", order, value, name).drop("_chunk")

@@ -1,73 +1,87 @@
 """The event core that all marts are made from.
 
 ``slices``   one row per (user, time slice) with its session: see ``operators.slices``.
-``moments``  one row per (user, slice, instant, event date, event name) with the number of equal
-             events in ``copies``, the parameter values shared by all events of the user at that
-             instant, the session, and the position of the first copy in its session.
+``moments``  one row per event with the parameter values shared by all events of the user at that
+             instant, its session and its position in the session.
 
 Single events are shuffled once, by (user, slice). Everything else works on aggregated rows.
-A core can be stored and read back, so that a full build scans the export once per form.
+A core can be stored and read back, so that a full build makes it once.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from functools import cached_property
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import fixed
 from ..functions.params import item_count, item_total, param_number, param_text
-from ..functions.times import floor_to
-from ..operators.arrays import largest_of
-from ..operators.slices import SLICE, count_before, gap_micros, number_sessions, user_key, user_of
+from ..operators.slices import count_before, gap_micros, number_sessions, slice_start, user_key, user_of
 from ..sources.export import save_table
 
 USER = "user_pseudo_id"
 TS = "event_timestamp"
 KEY = "user_key"
-UNIT = [KEY, SLICE]
+UNIT = [KEY, "slice"]
 SESSION = [KEY, "session_number"]
 
-_PAGE = {
+# conditions as SQL text
+KNOWN = f"{KEY} <> 'n'"
+VIEW = f"{KNOWN} AND event_name = '{fixed.PAGE_VIEW}'"
+
+_TEXTS = {
     "page_location": fixed.PAGE_LOCATION,
     "page_title": fixed.PAGE_TITLE,
     "page_referrer": fixed.PAGE_REFERRER,
-}
-_TRAFFIC = {
     "traffic_source": fixed.SOURCE,
     "traffic_medium": fixed.MEDIUM,
     "traffic_campaign": fixed.CAMPAIGN,
 }
-_SHARED = [*_PAGE, *_TRAFFIC, "percent_scrolled"]
+_SHARED = [*_TEXTS, "percent_scrolled"]
 
 
-@dataclass(frozen=True)
 class EventCore:
-    raw: DataFrame
-    slices: DataFrame
-    moments: DataFrame
-    gap_minutes: int = fixed.GAP_MINUTES
+    """Lazy core over an export; its parts are planned on first use.
 
+    Each mart computes only the columns it uses. ``bare`` is the export without its nested columns,
+    for a source that gives that more cheaply than by column pruning. ``slices`` and ``moments``
+    can be given as stored tables.
+    """
 
-def known() -> Column:
-    """Whether the row has a user."""
-    return F.col(KEY) != "n"
+    def __init__(
+        self,
+        raw: DataFrame,
+        bare: DataFrame | None = None,
+        slices: DataFrame | None = None,
+        moments: DataFrame | None = None,
+        gap_minutes: int = fixed.GAP_MINUTES,
+    ) -> None:
+        self.raw = raw
+        self.bare = raw if bare is None else bare
+        self.gap_minutes = gap_minutes
+        self._slices = slices
+        self._moments = moments
+
+    @cached_property
+    def slices(self) -> DataFrame:
+        return self._slices or build_slices(self.bare, self.gap_minutes)
+
+    @cached_property
+    def moments(self) -> DataFrame:
+        return self._moments or build_moments(self.raw, self.slices, self.gap_minutes)
 
 
 def user() -> Column:
-    return user_of(F.col(KEY)).alias(USER)
-
-
-def is_view() -> Column:
-    """Pageview of a known user."""
-    return known() & (F.col("event_name") == fixed.PAGE_VIEW)
+    return F.expr(f"{user_of(KEY)} AS {USER}")
 
 
 def keyed(raw: DataFrame, gap_minutes: int = fixed.GAP_MINUTES) -> DataFrame:
     """Add the non-NULL user key and the time slice."""
-    return raw.withColumn(KEY, user_key(F.col(USER))).withColumn(
-        SLICE, floor_to(F.col(TS), gap_micros(gap_minutes))
+    return raw.selectExpr(
+        "*",
+        f"{user_key(USER)} AS {KEY}",
+        f"{slice_start(TS, gap_micros(gap_minutes))} AS slice",
     )
 
 
@@ -76,87 +90,79 @@ def build_slices(raw: DataFrame, gap_minutes: int = fixed.GAP_MINUTES) -> DataFr
 
     Positions of events without a user run over all of them, whatever the session.
     """
-    name = F.col("event_name")
     counted = (
         keyed(raw, gap_minutes)
         .groupBy(*UNIT)
         .agg(
-            F.min(TS).alias("first_ts"),
-            F.max(TS).alias("last_ts"),
-            F.count(F.lit(1)).alias("events"),
-            F.count_if(name == fixed.PAGE_VIEW).alias("views"),
-            F.count_if(name == fixed.USER_ENGAGEMENT).alias("engaged"),
-            F.min("event_date").alias("first_date"),
+            F.expr(f"min({TS}) AS first_ts"),
+            F.expr(f"max({TS}) AS last_ts"),
+            F.expr("count(1) AS events"),
+            F.expr(f"count_if(event_name = '{fixed.PAGE_VIEW}') AS views"),
+            F.expr(f"count_if(event_name = '{fixed.USER_ENGAGEMENT}') AS engaged"),
+            F.expr("min(event_date) AS first_date"),
         )
     )
-    whole_user = Window.partitionBy(KEY)
-    scope = F.when(known(), F.col("session_number"))
-    return (
-        number_sessions(counted, KEY, gap_minutes=gap_minutes)
-        .withColumn("events_before", count_before("events", [F.col(KEY), scope], SLICE))
-        .withColumn("views_before", count_before("views", [F.col(KEY), scope], SLICE))
-        .withColumn("session_views", F.sum("views").over(Window.partitionBy(*SESSION)))
-        .withColumn("sessions_per_user", F.max("session_number").over(whole_user))
-        .withColumn("events_per_user", F.sum("events").over(whole_user))
+    scope = f"{KEY}, CASE WHEN {KNOWN} THEN session_number END"
+    return number_sessions(counted, KEY, gap_minutes=gap_minutes).selectExpr(
+        "*",
+        f"{count_before('events', scope, 'slice')} AS events_before",
+        f"{count_before('views', scope, 'slice')} AS views_before",
+        f"sum(views) OVER (PARTITION BY {KEY}, session_number) AS session_views",
+        f"max(session_number) OVER (PARTITION BY {KEY}) AS sessions_per_user",
+        f"sum(events) OVER (PARTITION BY {KEY}) AS events_per_user",
     )
 
 
 def _shared_moments(raw: DataFrame, gap_minutes: int) -> DataFrame:
-    """Moments before they are tagged with sessions; all work is local to (user, slice)."""
-    params, items = F.col("event_params"), F.col("items")
-    moment = [*UNIT, TS, "event_date", "event_name"]
+    """Events with shared values, before sessions are known; all work is local to (user, slice)."""
     rows = (
         keyed(raw, gap_minutes)
         .select(
-            *moment,
-            *[param_text(params, key).alias(c) for c, key in {**_PAGE, **_TRAFFIC}.items()],
-            param_number(params, fixed.PERCENT_SCROLLED).alias("percent_scrolled"),
-            item_count(items).alias("item_rows"),
-            item_total(items).alias("item_total"),
+            *UNIT,
+            TS,
+            "event_date",
+            "event_name",
+            *[param_text("event_params", key).alias(c) for c, key in _TEXTS.items()],
+            param_number("event_params", fixed.PERCENT_SCROLLED).alias("percent_scrolled"),
+            item_count("items").alias("item_rows"),
+            item_total("items").alias("item_total"),
         )
         .repartition(*UNIT)
     )
-    grouped = rows.groupBy(*moment).agg(
-        F.count(F.lit(1)).alias("copies"),
-        *[F.max(c).alias(c) for c in _SHARED],
-        F.sum("item_rows").alias("item_rows"),
-        F.sum("item_total").alias("item_total"),
+    in_slice = f"PARTITION BY {KEY}, slice ORDER BY {TS}, event_date, event_name"
+    instant = f"OVER (PARTITION BY {KEY}, slice, {TS})"
+    # the row order serves the positions, and its prefix the instants: one sort for both
+    placed = rows.selectExpr(
+        "*",
+        f"row_number() OVER ({in_slice}) AS local_event",
+        f"count_if(event_name = '{fixed.PAGE_VIEW}') OVER ({in_slice} ROWS UNBOUNDED PRECEDING) AS local_view",
     )
-    in_slice = (
-        Window.partitionBy(*UNIT)
-        .orderBy(TS, "event_date", "event_name")
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
-    instant = Window.partitionBy(*UNIT, TS)
-    per_name = Window.partitionBy(*UNIT, TS, "event_name")
-    views = F.when(F.col("event_name") == fixed.PAGE_VIEW, F.col("copies")).otherwise(F.lit(0))
-    numbered = grouped.withColumns(
-        {
-            "local_events": F.coalesce(F.sum("copies").over(in_slice), F.lit(0)),
-            "local_views": F.coalesce(F.sum(views).over(in_slice), F.lit(0)),
-        }
+    shared = placed.selectExpr(
+        *UNIT,
+        TS,
+        "event_date",
+        "event_name",
+        "local_event",
+        "local_view",
+        *[f"max({c}) {instant} AS {c}" for c in _SHARED],
+        f"sum(item_rows) {instant} AS item_rows",
+        f"sum(item_total) {instant} AS item_total",
     )
-    shared = numbered.withColumns(
-        {
-            **largest_of(_SHARED, instant),
-            "item_rows": F.sum("item_rows").over(instant),
-            "item_total": F.sum("item_total").over(instant),
-        }
+    # items at an instant belong to each event name there once, on the name's earliest date
+    per_name = f"PARTITION BY {KEY}, slice, {TS}, event_name ORDER BY event_date"
+    return shared.selectExpr(
+        "*",
+        f"""CASE WHEN {KNOWN} AND item_rows > 0 AND row_number() OVER ({per_name}) = 1
+                 THEN CASE WHEN event_name = '{fixed.PURCHASE}' THEN item_total ELSE 0D END
+            END AS revenue""",
     )
-    # items at an instant belong to each event name there, once, on the name's earliest date
-    earliest_date = F.col("event_date").eqNullSafe(F.min("event_date").over(per_name))
-    bought = F.when(F.col("event_name") == fixed.PURCHASE, F.col("item_total")).otherwise(F.lit(0.0))
-    return shared.withColumn(
-        "revenue", F.when(known() & (F.col("item_rows") > 0) & earliest_date, bought)
-    ).drop("item_rows", "item_total")
 
 
 def build_moments(
     raw: DataFrame, slices: DataFrame, gap_minutes: int = fixed.GAP_MINUTES
 ) -> DataFrame:
-    """Moments with session and positions. Shared values stay NULL for events without a user."""
-    tags = slices.select(
-        *UNIT,
+    """Events with session and positions. Shared values stay NULL for events without a user."""
+    tags = [
         "session_number",
         "session_first",
         "session_last",
@@ -165,44 +171,28 @@ def build_moments(
         "session_views",
         "sessions_per_user",
         "events_per_user",
-    )
-    tagged = _shared_moments(raw, gap_minutes).join(tags, UNIT)
-    return tagged.select(
+    ]
+    tagged = _shared_moments(raw, gap_minutes).join(slices.select(*UNIT, *tags), UNIT)
+    return tagged.selectExpr(
         *UNIT,
         TS,
         "event_date",
         "event_name",
-        "copies",
-        *[F.when(known(), F.col(c)).alias(c) for c in _SHARED],
+        *[f"CASE WHEN {KNOWN} THEN {c} END AS {c}" for c in _SHARED],
         "revenue",
         "session_number",
         "session_first",
         "session_last",
-        (F.col("local_events") + F.col("events_before") + 1).alias("event_index"),
-        (F.col("local_views") + F.col("views_before") + 1).alias("view_index"),
+        "local_event + events_before AS event_index",
+        "local_view + views_before AS view_index",
         "session_views",
         "sessions_per_user",
         "events_per_user",
     )
 
 
-def event_core(raw: DataFrame, gap_minutes: int = fixed.GAP_MINUTES) -> EventCore:
-    """Lazy core over an export; each mart computes only the columns it uses."""
-    slices = build_slices(raw, gap_minutes)
-    return EventCore(raw, slices, build_moments(raw, slices, gap_minutes), gap_minutes)
-
-
 def store_core(core: EventCore, folder: str) -> EventCore:
     """Write the core below a shared folder and return it as read back."""
-    return EventCore(
-        core.raw,
-        save_table(core.slices, f"{folder}/slices"),
-        save_table(core.moments, f"{folder}/moments"),
-        core.gap_minutes,
-    )
-
-
-def each_copy(moments: DataFrame, first: str, name: str) -> DataFrame:
-    """Back to one row per event: positions ``first``, ``first + 1``, ... of the copies."""
-    last = F.col(first) + F.col("copies") - 1
-    return moments.withColumn(name, F.explode(F.sequence(F.col(first), last)))
+    slices = save_table(core.slices, f"{folder}/slices")
+    moments = save_table(build_moments(core.raw, slices, core.gap_minutes), f"{folder}/moments")
+    return EventCore(core.raw, core.bare, slices, moments, core.gap_minutes)

@@ -28,12 +28,12 @@ def dim_users(core: EventCore) -> DataFrame:
     sessions = core.slices.select(*SESSION, "session_first", "session_last").distinct()
     users = sessions.groupBy(KEY).agg(
         F.min("session_number").alias("first_session_number"),
-        instant(F.min("session_first")).alias("first_session_start"),
+        F.expr(f"{instant('min(session_first)')} AS first_session_start"),
         F.max("session_number").alias("last_session_number"),
-        instant(F.max("session_last")).alias("last_session_end"),
+        F.expr(f"{instant('max(session_last)')} AS last_session_end"),
         F.count(F.lit(1)).alias("total_sessions"),
-        F.sum(whole_seconds(F.col("session_first"), F.col("session_last"))).alias(
-            "total_session_duration_seconds"
+        F.expr(
+            f"sum({whole_seconds('session_first', 'session_last')}) AS total_session_duration_seconds"
         ),
     )
     return users.select(user(), *users.columns[1:])
@@ -85,8 +85,8 @@ def dim_date(spark: SparkSession) -> DataFrame:
 
 def dim_date_covering(raw: DataFrame) -> DataFrame:
     """The standard calendar, widened to whole years where the export reaches beyond it."""
-    day = parse_day(F.col("event_date"))
-    bounds = raw.agg(F.min(day).alias("first"), F.max(day).alias("last"))
+    day = parse_day("event_date")
+    bounds = raw.agg(F.expr(f"min({day}) AS first"), F.expr(f"max({day}) AS last"))
     year_end = F.last_day(F.add_months(F.trunc("last", "year"), 11))
     start = F.least(F.lit(fixed.CALENDAR_START).cast("date"), F.trunc("first", "year"))
     end = F.greatest(F.lit(fixed.CALENDAR_END).cast("date"), year_end)

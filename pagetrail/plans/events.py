@@ -10,8 +10,8 @@ from ..functions.numbers import safe_product
 from ..functions.times import civil, instant, parse_day
 from ..functions.urls import canonical_url, surrogate_key
 from ..operators.arrays import flatten_items
-from ..operators.slices import follow
-from .core import KEY, SESSION, TS, UNIT, USER, EventCore, each_copy, is_view, keyed, known, user
+from ..operators.slices import follow, user_of
+from .core import KEY, KNOWN, SESSION, TS, UNIT, USER, VIEW, EventCore, keyed
 from .dimensions import dim_pages
 
 _ITEM = [
@@ -26,52 +26,51 @@ _ITEM = [
     "price",
     "quantity",
 ]
-
-
-def _when_known(name: str):
-    return F.when(known(), F.col(name)).alias(name)
+_USER = f"{user_of(KEY)} AS {USER}"
+_DATETIME = f"{civil(TS)} AS event_datetime"
+_DATE = f"{parse_day('event_date')} AS event_date"
+_START = f"{instant('session_first')} AS session_start"
+_END = f"{instant('session_last')} AS session_end"
 
 
 def events(core: EventCore) -> DataFrame:
     """All events with page parameters, session and position; no session without a user."""
-    rows = each_copy(core.moments, "event_index", "position")
-    return rows.select(
-        user(),
-        _when_known("session_number"),
-        F.col("position").alias("event_index"),
+    return core.moments.selectExpr(
+        _USER,
+        f"CASE WHEN {KNOWN} THEN session_number END AS session_number",
+        "event_index",
         "event_name",
         TS,
-        civil(F.col(TS)).alias("event_datetime"),
-        parse_day(F.col("event_date")).alias("event_date"),
+        _DATETIME,
+        _DATE,
         "page_location",
         "page_title",
         "page_referrer",
-        F.when(known(), instant(F.col("session_first"))).alias("session_start"),
-        F.when(known(), instant(F.col("session_last"))).alias("session_end"),
+        f"CASE WHEN {KNOWN} THEN {instant('session_first')} END AS session_start",
+        f"CASE WHEN {KNOWN} THEN {instant('session_last')} END AS session_end",
     )
 
 
 def user_journey(core: EventCore) -> DataFrame:
     """Events of known users in session order."""
-    rows = each_copy(core.moments.filter(known()), "event_index", "position")
-    return rows.select(
-        user(),
+    return core.moments.filter(KNOWN).selectExpr(
+        _USER,
         "session_number",
-        F.col("position").alias("event_index"),
+        "event_index",
         "event_name",
         TS,
-        civil(F.col(TS)).alias("event_datetime"),
+        _DATETIME,
         "event_date",
         "page_location",
         "page_title",
-        instant(F.col("session_first")).alias("session_start"),
-        instant(F.col("session_last")).alias("session_end"),
+        _START,
+        _END,
     )
 
 
 def ordered_views(core: EventCore) -> DataFrame:
     """Pageviews of known users with their position in the session, still keyed by slice."""
-    return each_copy(core.moments.filter(is_view()), "view_index", "pageview_index")
+    return core.moments.filter(VIEW).withColumnRenamed("view_index", "pageview_index")
 
 
 def pageviews(core: EventCore, pages: DataFrame | None = None) -> DataFrame:
@@ -82,8 +81,8 @@ def pageviews(core: EventCore, pages: DataFrame | None = None) -> DataFrame:
     popular address can be split by the skew-join rule.
     """
     keys = (dim_pages(core.raw) if pages is None else pages).select("page_location", "page_key")
-    return ordered_views(core).join(keys, "page_location", "left").select(
-        user(),
+    return ordered_views(core).join(keys, "page_location", "left").selectExpr(
+        _USER,
         "session_number",
         "pageview_index",
         "page_location",
@@ -91,21 +90,20 @@ def pageviews(core: EventCore, pages: DataFrame | None = None) -> DataFrame:
         "page_referrer",
         "page_key",
         TS,
-        civil(F.col(TS)).alias("event_datetime"),
-        parse_day(F.col("event_date")).alias("event_date"),
-        instant(F.col("session_first")).alias("session_start"),
-        instant(F.col("session_last")).alias("session_end"),
+        _DATETIME,
+        _DATE,
+        _START,
+        _END,
     )
 
 
 def scroll_depth(core: EventCore) -> DataFrame:
     """Scroll events with the share of the page that was scrolled."""
-    scrolls = core.moments.filter(F.col("event_name") == fixed.SCROLL)
-    return each_copy(scrolls, "event_index", "position").select(
-        user(),
-        _when_known("session_number"),
+    return core.moments.filter(F.col("event_name") == fixed.SCROLL).selectExpr(
+        _USER,
+        f"CASE WHEN {KNOWN} THEN session_number END AS session_number",
         TS,
-        civil(F.col(TS)).alias("event_datetime"),
+        _DATETIME,
         "event_date",
         "page_location",
         "percent_scrolled",
@@ -122,7 +120,7 @@ def user_journey_paths(core: EventCore) -> DataFrame:
     )
     paths = follow(views, UNIT, SESSION, "slice", "pageview_index", "from_page", "to_page")
     return paths.select(
-        user(),
+        F.expr(_USER),
         "session_number",
         "pageview_index",
         "from_page",
@@ -138,22 +136,22 @@ def item_performance(core: EventCore) -> DataFrame:
     An item belongs to every event name its user has at that instant, once per name.
     """
     named = (
-        core.moments.filter(known())
+        core.moments.filter(KNOWN)
         .groupBy(*UNIT, TS, "event_name", "session_number")
         .agg(F.min("event_date").alias("event_date"), F.max("page_location").alias("page_location"))
     )
     sold = keyed(core.raw, core.gap_minutes).filter(F.col(USER).isNotNull())
     items = flatten_items(sold, [*UNIT, TS], _ITEM)
-    value = safe_product(F.col("price"), F.col("quantity"))
-    return items.join(named, [*UNIT, TS]).select(
-        user(),
+    value = safe_product("price", "quantity")
+    return items.join(named, [*UNIT, TS]).selectExpr(
+        _USER,
         "session_number",
         TS,
-        civil(F.col(TS)).alias("event_datetime"),
+        _DATETIME,
         "event_name",
-        parse_day(F.col("event_date")).alias("event_date"),
+        _DATE,
         "page_location",
         *_ITEM,
-        value.alias("item_value"),
-        F.when(F.col("event_name") == fixed.PURCHASE, value).otherwise(F.lit(0.0)).alias("item_revenue"),
+        f"{value} AS item_value",
+        f"CASE WHEN event_name = '{fixed.PURCHASE}' THEN {value} ELSE 0D END AS item_revenue",
     )

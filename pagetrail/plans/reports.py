@@ -10,14 +10,13 @@ from pyspark.sql import functions as F
 from ..functions import fixed
 from ..functions.labels import page_type, source_label
 from ..functions.urls import canonical_url
-from .core import KEY, SESSION, EventCore, known
+from .core import KEY, KNOWN, EventCore
 from .dimensions import dim_date_covering, dim_pages
 from .events import ordered_views, user_journey_paths
 from .sessions import (
     daily_overview,
     funnels,
     landing_pages,
-    session_facts,
     traffic_sources,
     user_facts,
 )
@@ -30,11 +29,11 @@ def kpi_totals(core: EventCore) -> DataFrame:
     zero = F.lit(0).cast("long")
     per_user = core.slices.groupBy(KEY).agg(
         F.max("session_number").alias("sessions"),
-        F.sum(F.when(known(), F.col("views")).otherwise(F.lit(0))).alias("views"),
+        F.expr(f"sum(CASE WHEN {KNOWN} THEN views ELSE 0L END) AS views"),
     )
     traffic = per_user.agg(
         F.sum("sessions").alias("total_sessions"),
-        F.count_if(known()).alias("total_users"),
+        F.expr(f"count_if({KNOWN}) AS total_users"),
         F.sum("views").alias("total_pageviews"),
         F.lit(0.0).alias("total_revenue"),
     )
@@ -53,7 +52,7 @@ def daily_trend(core: EventCore, grain: str = "date") -> DataFrame:
     daily = daily_overview(core).select(
         F.col("event_date").alias("date"), "daily_sessions", "daily_revenue"
     )
-    dated = daily.join(dim_date_covering(core.raw), "date")
+    dated = daily.join(dim_date_covering(core.bare), "date")
     if grain == "date":
         return dated.select("date", "year_month", "year_quarter", "daily_sessions", "daily_revenue")
     return dated.groupBy(grain).agg(
@@ -88,19 +87,16 @@ def purchase_funnel(
 ) -> DataFrame:
     """Sessions per funnel step, with the rate to the step before and to the first step."""
     counts = funnels(core, steps).agg(
-        *[F.count_if(F.col("step_order") == order).alias(f"s{i}") for i, (_, _, order) in enumerate(steps)]
+        *[F.expr(f"count_if(step_order = {order}) AS s{i}") for i, (_, _, order) in enumerate(steps)]
     )
-    rows = [
-        F.struct(
-            F.lit(order).cast("long").alias("step_order"),
-            F.lit(step).alias("step_name"),
-            F.col(f"s{i}").alias("sessions"),
-            (F.try_divide(f"s{i}", f"s{i - 1}") if i else F.lit(None).cast("double")).alias("step_rate"),
-            F.try_divide(f"s{i}", "s0").alias("overall_rate"),
-        )
+    rows = ", ".join(
+        f"{order}L, '{step}', s{i}, "
+        + (f"try_divide(s{i}, s{i - 1})" if i else "CAST(NULL AS DOUBLE)")
+        + f", try_divide(s{i}, s0)"
         for i, (step, _, order) in enumerate(steps)
-    ]
-    return counts.select(F.inline(F.array(*rows)))
+    )
+    columns = "step_order, step_name, sessions, step_rate, overall_rate"
+    return counts.selectExpr(f"stack({len(steps)}, {rows}) AS ({columns})")
 
 
 def page_types(
@@ -145,32 +141,25 @@ def exit_rate_by_page_type(core: EventCore, rules: Rules = fixed.PAGE_TYPE_RULES
 
 def purchaser_comparison(core: EventCore) -> DataFrame:
     """Engagement of users with a purchase against users without, one row per metric."""
-    users = user_facts(core).filter(known())
-    bought = F.col("purchase_events") > 0
     metrics = {
-        "avg_sessions": "total_sessions",
-        "avg_session_length_seconds": "avg_session_length_seconds",
-        "avg_pageviews": "total_pageviews",
-        "avg_unique_pages_viewed": "total_unique_pages_viewed",
+        "avg_sessions": "avg({}total_sessions{})",
+        "avg_session_length_seconds": "avg({}avg_session_length_seconds{})",
+        "avg_pageviews": "avg({}total_pageviews{})",
+        "avg_unique_pages_viewed": "avg({}total_unique_pages_viewed{})",
     }
-    both = users.agg(
-        F.count_if(bought).cast("double").alias("yes_users"),
-        F.count_if(~bought).cast("double").alias("no_users"),
-        *[F.avg(F.when(bought, F.col(c))).alias(f"yes_{m}") for m, c in metrics.items()],
-        *[F.avg(F.when(~bought, F.col(c))).alias(f"no_{m}") for m, c in metrics.items()],
-    ).withColumns(
-        {
-            "yes_user_share": F.try_divide(F.col("yes_users"), F.col("yes_users") + F.col("no_users")),
-            "no_user_share": F.try_divide(F.col("no_users"), F.col("yes_users") + F.col("no_users")),
-        }
+    bought = "CASE WHEN purchase_events > 0 THEN "
+    other = "CASE WHEN purchase_events = 0 THEN "
+    both = user_facts(core).filter(KNOWN).agg(
+        F.expr("cast(count_if(purchase_events > 0) AS double) AS yes_users"),
+        F.expr("cast(count_if(purchase_events = 0) AS double) AS no_users"),
+        *[F.expr(f"{a.format(bought, ' END')} AS yes_{m}") for m, a in metrics.items()],
+        *[F.expr(f"{a.format(other, ' END')} AS no_{m}") for m, a in metrics.items()],
+    )
+    shares = both.selectExpr(
+        "*",
+        "try_divide(yes_users, yes_users + no_users) AS yes_user_share",
+        "try_divide(no_users, yes_users + no_users) AS no_user_share",
     )
-    rows = [
-        F.struct(
-            F.lit(m).alias("metric"),
-            F.col(f"yes_{m}").alias("purchasers"),
-            F.col(f"no_{m}").alias("non_purchasers"),
-            F.try_divide(f"yes_{m}", f"no_{m}").alias("ratio"),
-        )
-        for m in ["users", "user_share", *metrics]
-    ]
-    return both.select(F.inline(F.array(*rows)))
+    names = ["users", "user_share", *metrics]
+    rows = ", ".join(f"'{m}', yes_{m}, no_{m}, try_divide(yes_{m}, no_{m})" for m in names)
+    return shares.selectExpr(f"stack({len(names)}, {rows}) AS (metric, purchasers, non_purchasers, ratio)")

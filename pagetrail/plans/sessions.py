@@ -8,195 +8,165 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import fixed
 from ..functions.times import civil, instant, parse_day, utc_day, whole_seconds
-from ..operators.grouping import earliest, funnel, latest, top1
-from .core import KEY, SESSION, TS, UNIT, EventCore, is_view, keyed, known, user
+from ..operators.grouping import earliest, first_filled, funnel, last_filled, latest, top1
+from ..operators.slices import user_of
+from .core import KEY, KNOWN, SESSION, TS, UNIT, USER, VIEW, EventCore, keyed
 
 BOUNDS = ["session_first", "session_last"]
 
-
-def _start_end() -> list[Column]:
-    return [
-        instant(F.col("session_first")).alias("session_start"),
-        instant(F.col("session_last")).alias("session_end"),
-    ]
-
-
-def _named(name: str) -> Column:
-    """Copies of events of that name."""
-    return F.when(F.col("event_name") == name, F.col("copies")).otherwise(F.lit(0))
-
-
-def _measures() -> dict[str, Column]:
-    ts, page = F.col(TS), F.col("page_location")
-    view = is_view()
-    place = F.struct("page_location", "page_title", "page_referrer")
-
-    def first_filled(name: str) -> Column:
-        return earliest(ts, F.col(name), F.col(name).isNotNull())["value"]
-
-    return {
-        "first_view": earliest(ts, place, view),
-        "last_view": latest(ts, place, view),
-        "first_page": earliest(ts, page, view & page.isNotNull())["value"],
-        "last_page": latest(ts, page, view & page.isNotNull())["value"],
-        "traffic_source": first_filled("traffic_source"),
-        "traffic_medium": first_filled("traffic_medium"),
-        "traffic_campaign": first_filled("traffic_campaign"),
-        "total_events": F.sum("copies"),
-        "total_pageviews": F.sum(_named(fixed.PAGE_VIEW)),
-        "unique_pages_viewed": F.count_distinct("page_location"),
-        "purchase_events": F.sum(_named(fixed.PURCHASE)),
-        "session_revenue": F.sum("revenue"),
-        "sessions_per_user": F.max("sessions_per_user"),
-        "events_per_user": F.max("events_per_user"),
-    }
-
-
-_MERGED = ("total_events", "total_pageviews", "unique_pages_viewed", "sessions_per_user", "events_per_user")
+_USER = f"{user_of(KEY)} AS {USER}"
+_START = f"{instant('session_first')} AS session_start"
+_END = f"{instant('session_last')} AS session_end"
+_PLACE = "named_struct('location', page_location, 'title', page_title, 'referrer', page_referrer)"
+
+# Session measures: SQL aggregates over the moments.
+MEASURES = {
+    "first_view": earliest(TS, _PLACE, VIEW),
+    "last_view": latest(TS, _PLACE, VIEW),
+    "first_page": first_filled(TS, "page_location", VIEW),
+    "last_page": last_filled(TS, "page_location", VIEW),
+    "traffic_source": first_filled(TS, "traffic_source"),
+    "traffic_medium": first_filled(TS, "traffic_medium"),
+    "traffic_campaign": first_filled(TS, "traffic_campaign"),
+    "total_events": "count(1)",
+    "total_pageviews": f"count_if(event_name = '{fixed.PAGE_VIEW}')",
+    "unique_pages_viewed": "count(DISTINCT page_location)",
+    "purchase_events": f"count_if(event_name = '{fixed.PURCHASE}')",
+    "session_revenue": "sum(revenue)",
+    "sessions_per_user": "max(sessions_per_user)",
+    "events_per_user": "max(events_per_user)",
+}
+_TRAFFIC = ["traffic_source", "traffic_medium", "traffic_campaign"]
+# looked up by user: NULL for sessions without one
+_ENGAGEMENT = [
+    "total_events",
+    "total_pageviews",
+    "unique_pages_viewed",
+    "sessions_per_user",
+    "events_per_user",
+]
+
+
+def _aggregates(names: Sequence[str]) -> list[Column]:
+    return [F.expr(f"{MEASURES[name]} AS {name}") for name in names]
 
 
 def session_facts(core: EventCore, *names: str) -> DataFrame:
-    """One row per session, sessions without a user included, with the named measures.
-
-    What is looked up by user stays NULL for sessions without one.
-    """
-    measures = _measures()
-    facts = core.moments.groupBy(*SESSION, *BOUNDS).agg(*[measures[n].alias(n) for n in names])
-    return facts.withColumns({n: F.when(known(), F.col(n)) for n in names if n in _MERGED})
+    """One row per session, sessions without a user included, with the named measures."""
+    facts = core.moments.groupBy(*SESSION, *BOUNDS).agg(*_aggregates(names))
+    return facts.selectExpr(
+        *SESSION,
+        *BOUNDS,
+        *[f"CASE WHEN {KNOWN} THEN {n} END AS {n}" if n in _ENGAGEMENT else n for n in names],
+    )
 
 
-def _view_columns(view: str, page: str) -> list[Column]:
-    at = f"{view}.value"
+def _view_columns(view: str, page: str) -> list[str]:
     return [
-        F.col(f"{at}.page_location").alias(page),
-        F.col(f"{at}.page_title").alias(f"{page}_title"),
-        F.col(f"{at}.page_referrer").alias(f"{page}_referrer"),
-        civil(F.col(f"{view}.at")).alias(page.replace("_page", "_datetime")),
+        f"{view}.value.location AS {page}",
+        f"{view}.value.title AS {page}_title",
+        f"{view}.value.referrer AS {page}_referrer",
+        f"{civil(f'{view}.at')} AS {page.replace('_page', '_datetime')}",
     ]
 
 
 def sessions(core: EventCore) -> DataFrame:
     """One row per session, straight from the slices."""
     rolled = core.slices.groupBy(*SESSION, *BOUNDS).agg(
-        F.sum("events").alias("event_count"),
-        F.sum("engaged").alias("engaged_event_count"),
-        F.min("first_date").alias("first_date"),
+        F.expr("sum(events) AS event_count"),
+        F.expr("sum(engaged) AS engaged_event_count"),
+        F.expr("min(first_date) AS first_date"),
     )
-    return rolled.select(
-        user(),
+    return rolled.selectExpr(
+        _USER,
         "session_number",
-        *_start_end(),
-        whole_seconds(F.col("session_first"), F.col("session_last")).alias("session_duration_seconds"),
+        _START,
+        _END,
+        f"{whole_seconds('session_first', 'session_last')} AS session_duration_seconds",
         "event_count",
         "engaged_event_count",
-        parse_day(F.col("first_date")).alias("session_date"),
+        f"{parse_day('first_date')} AS session_date",
     )
 
 
-def funnels(core: EventCore, steps: Sequence[tuple[str, str, int]] = fixed.FUNNEL_STEPS) -> DataFrame:
+def funnels(
+    core: EventCore, steps: Sequence[tuple[str, str, int]] = fixed.FUNNEL_STEPS
+) -> DataFrame:
     """First time of each funnel step per session of a known user."""
-    names = {name for _, name, _ in steps}
-    hits = keyed(core.raw, core.gap_minutes).filter(
-        F.col("event_name").isin(*names) & known()
-    ).join(core.slices.select(*UNIT, "session_number"), UNIT)
-    reached = funnel(hits, steps, SESSION, "event_name", TS)
-    return reached.select(
-        user(),
+    hits = keyed(core.bare, core.gap_minutes).filter(
+        F.col("event_name").isin(*{name for _, name, _ in steps}) & F.expr(KNOWN)
+    )
+    numbered = hits.join(core.slices.select(*UNIT, "session_number"), UNIT)
+    return funnel(numbered, steps, SESSION, "event_name", TS).selectExpr(
+        _USER,
         "session_number",
         "step_name",
         "step_order",
         "step_timestamp",
-        civil(F.col("step_timestamp")).alias("step_datetime"),
+        f"{civil('step_timestamp')} AS step_datetime",
     )
 
 
 def landing_pages(core: EventCore) -> DataFrame:
     """Sessions with their first pageview, if any."""
-    facts = session_facts(core, "first_view")
-    return facts.select(
-        user(), "session_number", *_start_end(), *_view_columns("first_view", "landing_page")
+    return session_facts(core, "first_view").selectExpr(
+        _USER, "session_number", _START, _END, *_view_columns("first_view", "landing_page")
     )
 
 
 def exit_pages(core: EventCore) -> DataFrame:
     """Sessions with their last pageview, if any."""
-    facts = session_facts(core, "last_view")
-    return facts.select(
-        user(), "session_number", *_start_end(), *_view_columns("last_view", "exit_page")
+    return session_facts(core, "last_view").selectExpr(
+        _USER, "session_number", _START, _END, *_view_columns("last_view", "exit_page")
     )
 
 
 def traffic_sources(core: EventCore) -> DataFrame:
     """Sessions with the first source, medium and campaign seen, each on its own."""
-    facts = session_facts(core, "traffic_source", "traffic_medium", "traffic_campaign", "first_view")
-    return facts.select(
-        user(),
-        "session_number",
-        *_start_end(),
-        "traffic_source",
-        "traffic_medium",
-        "traffic_campaign",
-        F.col("first_view.value.page_location").alias("landing_page"),
+    return session_facts(core, *_TRAFFIC, "first_view").selectExpr(
+        _USER, "session_number", _START, _END, *_TRAFFIC, "first_view.value.location AS landing_page"
     )
 
 
 def engagement(core: EventCore) -> DataFrame:
     """Event, pageview and page counts per session; one row for all events without a user."""
-    measures = _measures()
-    names = [
-        "total_events",
-        "total_pageviews",
-        "unique_pages_viewed",
-        "first_page",
-        "last_page",
-        "sessions_per_user",
-        "events_per_user",
-    ]
     per_session = (
-        core.moments.withColumn("session_number", F.when(known(), F.col("session_number")))
+        core.moments.withColumn("session_number", F.expr(f"CASE WHEN {KNOWN} THEN session_number END"))
         .groupBy(*SESSION)
-        .agg(*[measures[n].alias(n) for n in names])
+        .agg(*_aggregates([*_ENGAGEMENT, "first_page", "last_page"]))
     )
-    return per_session.select(
-        user(),
+    return per_session.selectExpr(
+        _USER,
         "session_number",
         "total_events",
         "total_pageviews",
         "unique_pages_viewed",
-        F.col("first_page").alias("landing_page"),
-        F.col("last_page").alias("exit_page"),
-        F.when(known(), F.col("sessions_per_user")).alias("sessions_per_user"),
-        F.when(known(), F.col("events_per_user")).alias("events_per_user"),
+        "first_page AS landing_page",
+        "last_page AS exit_page",
+        f"CASE WHEN {KNOWN} THEN sessions_per_user END AS sessions_per_user",
+        f"CASE WHEN {KNOWN} THEN events_per_user END AS events_per_user",
     )
 
 
 def session_summary(core: EventCore) -> DataFrame:
     """Wide session row: landing, exit, engagement, traffic and revenue from one grouping."""
     facts = session_facts(
-        core,
-        "first_view",
-        "last_view",
-        *_MERGED,
-        "traffic_source",
-        "traffic_medium",
-        "traffic_campaign",
-        "session_revenue",
+        core, "first_view", "last_view", *_ENGAGEMENT, *_TRAFFIC, "session_revenue"
     )
-    return facts.select(
-        user(),
+    return facts.selectExpr(
+        _USER,
         "session_number",
-        *_start_end(),
+        _START,
+        _END,
         *_view_columns("first_view", "landing_page"),
         *_view_columns("last_view", "exit_page"),
-        *_MERGED,
-        "traffic_source",
-        "traffic_medium",
-        "traffic_campaign",
+        *_ENGAGEMENT,
+        *_TRAFFIC,
         "session_revenue",
     )
 
@@ -204,8 +174,8 @@ def session_summary(core: EventCore) -> DataFrame:
 def user_facts(core: EventCore) -> DataFrame:
     """One row per user: totals, first touch, most common pages, number of purchases.
 
-    Sessions are brought together by user once; a user has at most one session per time slice, so
-    their number is bounded by the covered time span.
+    Sessions are brought together by user once. Two sessions of a user are at least a gap apart,
+    so their number is bounded by the covered time span.
     """
     facts = session_facts(
         core,
@@ -214,50 +184,38 @@ def user_facts(core: EventCore) -> DataFrame:
         "total_events",
         "total_pageviews",
         "unique_pages_viewed",
-        "traffic_source",
-        "traffic_medium",
-        "traffic_campaign",
+        *_TRAFFIC,
         "session_revenue",
         "purchase_events",
-    ).select(
-        "*",
-        F.col("first_view.value.page_location").alias("landing_page"),
-        F.col("last_view.value.page_location").alias("exit_page"),
-        whole_seconds(F.col("session_first"), F.col("session_last")).alias("seconds"),
     )
-    by_user = facts.repartition(KEY).withColumns(
-        {
-            "landings": F.count(F.lit(1)).over(Window.partitionBy(KEY, "landing_page")),
-            "exits": F.count(F.lit(1)).over(Window.partitionBy(KEY, "exit_page")),
-        }
+    by_user = facts.repartition(KEY).selectExpr(
+        "*",
+        "first_view.value.location AS landing_page",
+        "last_view.value.location AS exit_page",
+        f"{whole_seconds('session_first', 'session_last')} AS seconds",
+        f"count(1) OVER (PARTITION BY {KEY}, first_view.value.location) AS landings",
+        f"count(1) OVER (PARTITION BY {KEY}, last_view.value.location) AS exits",
     )
-    number = F.col("session_number")
-
-    def first_touch(name: str) -> Column:
-        return earliest(number, F.col(name), F.col(name).isNotNull())["value"]
-
+    first_touch = [*_TRAFFIC, "landing_page"]
     return by_user.groupBy(KEY).agg(
-        F.count(F.lit(1)).alias("total_sessions"),
-        F.avg("seconds").alias("avg_session_length_seconds"),
-        F.sum("total_events").alias("total_events"),
-        F.sum("total_pageviews").alias("total_pageviews"),
-        F.sum("unique_pages_viewed").alias("total_unique_pages_viewed"),
-        F.sum("session_revenue").alias("total_revenue"),
-        F.avg("session_revenue").alias("avg_revenue_per_session"),
-        first_touch("traffic_source").alias("first_traffic_source"),
-        first_touch("traffic_medium").alias("first_traffic_medium"),
-        first_touch("traffic_campaign").alias("first_traffic_campaign"),
-        first_touch("landing_page").alias("first_landing_page"),
-        top1(F.col("landings"), F.col("landing_page")).alias("most_common_landing_page"),
-        top1(F.col("exits"), F.col("exit_page")).alias("most_common_exit_page"),
-        F.sum("purchase_events").alias("purchase_events"),
+        F.expr("count(1) AS total_sessions"),
+        F.expr("avg(seconds) AS avg_session_length_seconds"),
+        F.expr("sum(total_events) AS total_events"),
+        F.expr("sum(total_pageviews) AS total_pageviews"),
+        F.expr("sum(unique_pages_viewed) AS total_unique_pages_viewed"),
+        F.expr("sum(session_revenue) AS total_revenue"),
+        F.expr("avg(session_revenue) AS avg_revenue_per_session"),
+        *[F.expr(f"{first_filled('session_number', c, KNOWN)} AS first_{c}") for c in first_touch],
+        F.expr(f"{top1('landings', 'landing_page', KNOWN)} AS most_common_landing_page"),
+        F.expr(f"{top1('exits', 'exit_page', KNOWN)} AS most_common_exit_page"),
+        F.expr("sum(purchase_events) AS purchase_events"),
     )
 
 
 def user_summary(core: EventCore) -> DataFrame:
     """Wide user row."""
     facts = user_facts(core).drop("purchase_events")
-    return facts.select(user(), *facts.columns[1:])
+    return facts.selectExpr(_USER, *facts.columns[1:])
 
 
 def content_performance(core: EventCore) -> DataFrame:
@@ -266,24 +224,30 @@ def content_performance(core: EventCore) -> DataFrame:
     ``sessions`` counts distinct session numbers, which restart with each user. Pageviews without
     an address form one row per day that has no event or revenue figures.
     """
-    view = is_view()
-    located = F.col("page_location").isNotNull()
+    figures = {
+        "total_events": "count(1)",
+        "add_to_cart_events": f"count_if(event_name = '{fixed.ADD_TO_CART}')",
+        "purchases": f"count_if(event_name = '{fixed.PURCHASE}')",
+        "total_revenue": "sum(revenue)",
+    }
     pages = (
-        core.moments.withColumn("event_date", parse_day(F.col("event_date")))
+        core.moments.withColumn("event_date", F.expr(parse_day("event_date")))
         .groupBy("page_location", "event_date")
         .agg(
-            F.sum(F.when(view, F.col("copies"))).alias("pageviews"),
-            F.count_distinct(F.when(view, F.col(KEY))).alias("unique_users"),
-            F.count_distinct(F.when(view, F.col("session_number"))).alias("sessions"),
-            F.sum("copies").alias("total_events"),
-            F.sum(_named(fixed.ADD_TO_CART)).alias("add_to_cart_events"),
-            F.sum(_named(fixed.PURCHASE)).alias("purchases"),
-            F.sum("revenue").alias("total_revenue"),
+            F.expr(f"count_if({VIEW}) AS pageviews"),
+            F.expr(f"count(DISTINCT CASE WHEN {VIEW} THEN {KEY} END) AS unique_users"),
+            F.expr(f"count(DISTINCT CASE WHEN {VIEW} THEN session_number END) AS sessions"),
+            *[F.expr(f"{aggregate} AS {name}") for name, aggregate in figures.items()],
         )
-        .filter(F.col("pageviews") > 0)
     )
-    figures = ["total_events", "add_to_cart_events", "purchases", "total_revenue"]
-    return pages.withColumns({c: F.when(located, F.col(c)) for c in figures})
+    return pages.filter("pageviews > 0").selectExpr(
+        "page_location",
+        "event_date",
+        "pageviews",
+        "unique_users",
+        "sessions",
+        *[f"CASE WHEN page_location IS NOT NULL THEN {name} END AS {name}" for name in figures],
+    )
 
 
 def daily_overview(core: EventCore) -> DataFrame:
@@ -293,52 +257,44 @@ def daily_overview(core: EventCore) -> DataFrame:
     both rankings come from one pass: a session is listed under the day's total, under its landing
     page and under its source.
     """
-    measures = _measures()
-    day = utc_day(F.col("session_first"))
-    same_day = known() & (parse_day(F.col("event_date")) == day)
-    def facet(name: str, value: Column) -> Column:
-        return F.struct(F.lit(name).alias("facet"), value.alias("value"))
-
-    listed = F.array(
-        facet("total", F.lit(None).cast("string")),
-        facet("landing", F.col("first_view.value.page_location")),
-        facet("source", F.col("traffic_source")),
-    )
-    per_session = (
-        core.moments.groupBy(*SESSION, "session_first")
-        .agg(
-            F.sum(F.when(same_day, F.col("copies")).otherwise(F.lit(0))).alias("events"),
-            F.sum(F.when(same_day, _named(fixed.PAGE_VIEW)).otherwise(F.lit(0))).alias("views"),
-            F.sum(F.when(same_day, F.col("revenue"))).alias("revenue"),
-            measures["first_view"].alias("first_view"),
-            measures["traffic_source"].alias("traffic_source"),
-        )
-        .select(KEY, "events", "views", "revenue", day.alias("event_date"), F.inline(listed))
+    day = utc_day("session_first")
+    same_day = f"{KNOWN} AND {parse_day('event_date')} = {day}"
+    per_session = core.moments.groupBy(*SESSION, "session_first").agg(
+        F.expr(f"count_if({same_day}) AS events"),
+        F.expr(f"count_if({same_day} AND event_name = '{fixed.PAGE_VIEW}') AS views"),
+        F.expr(f"sum(CASE WHEN {same_day} THEN revenue END) AS revenue"),
+        *_aggregates(["first_view", "traffic_source"]),
     )
-    total = F.col("facet") == "total"
-    counted = (
-        per_session.filter(total | F.col("value").isNotNull())
-        .groupBy("event_date", "facet", "value")
-        .agg(
-            F.count(F.lit(1)).alias("n"),
-            F.count_distinct(F.when(total & known(), F.col(KEY))).alias("users"),
-            F.count_if(known()).alias("sessions"),
-            F.sum("events").alias("events"),
-            F.sum("views").alias("views"),
-            F.sum("revenue").alias("revenue"),
-        )
+    listed = per_session.selectExpr(
+        KEY,
+        "events",
+        "views",
+        "revenue",
+        f"{day} AS event_date",
+        """stack(3, 'total', CAST(NULL AS STRING), 'landing', first_view.value.location,
+                 'source', traffic_source) AS (facet, value)""",
+    ).filter("facet = 'total' OR value IS NOT NULL")
+    counted = listed.groupBy("event_date", "facet", "value").agg(
+        F.expr("count(1) AS n"),
+        F.expr(f"count(DISTINCT CASE WHEN facet = 'total' AND {KNOWN} THEN {KEY} END) AS users"),
+        F.expr(f"count_if({KNOWN}) AS sessions"),
+        F.expr("sum(events) AS events"),
+        F.expr("sum(views) AS views"),
+        F.expr("sum(revenue) AS revenue"),
     )
 
-    def of_day(name: str, shown: str) -> Column:
-        return F.max(F.when(total, F.col(name))).alias(shown)
+    def of_day(name: str) -> str:
+        return f"max(CASE WHEN facet = 'total' THEN {name} END)"
+
+    top_page = top1("n", "value", "facet = 'landing'")
+    top_source = top1("n", "value", "facet = 'source'")
 
-    n, value = F.col("n"), F.col("value")
     return counted.groupBy("event_date").agg(
-        of_day("users", "daily_active_users"),
-        of_day("sessions", "daily_sessions"),
-        of_day("events", "daily_events"),
-        of_day("views", "daily_pageviews"),
-        F.coalesce(F.max(F.when(total, F.col("revenue"))), F.lit(0.0)).alias("daily_revenue"),
-        top1(n, value, F.col("facet") == "landing").alias("top_landing_page"),
-        top1(n, value, F.col("facet") == "source").alias("top_traffic_source"),
+        F.expr(f"{of_day('users')} AS daily_active_users"),
+        F.expr(f"{of_day('sessions')} AS daily_sessions"),
+        F.expr(f"{of_day('events')} AS daily_events"),
+        F.expr(f"{of_day('views')} AS daily_pageviews"),
+        F.expr(f"coalesce({of_day('revenue')}, 0D) AS daily_revenue"),
+        F.expr(f"{top_page} AS top_landing_page"),
+        F.expr(f"{top_source} AS top_traffic_source"),
     )

@@ -24,8 +24,21 @@ PAGE_TYPE_RULES = (
 )
 
 
+TABLES = {
+    "events": "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string",
+    "pages": "page_id long, url string",
+    "part": "p_partkey long, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+}
+
+
 def _rows(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{table}.parquet")
+    return spark.read.schema(TABLES[table]).parquet(f"{sf_dir}/{table}.parquet")
+
+
+def _spread(events: DataFrame) -> DataFrame:
+    """A few files that one task each would read, spread over the cores; many files as they are."""
+    cores = events.sparkSession.sparkContext.defaultParallelism
+    return events.repartition(cores, "event_id") if len(events.inputFiles()) < cores else events
 
 
 def _size(table: DataFrame) -> Column:
@@ -165,7 +178,7 @@ def testsite_export(
     spark: SparkSession, sf_dir: str, params: bool = True, items: bool = True
 ) -> DataFrame:
     """The test tables as an export; nested columns that are not asked for stay NULL."""
-    export = _base(_rows(spark, sf_dir, "events"))
+    export = _base(_spread(_rows(spark, sf_dir, "events")))
     if params:
         export = _with_params(export, _rows(spark, sf_dir, "pages"))
     else:
