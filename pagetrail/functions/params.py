@@ -1,48 +1,44 @@
-"""Reading event parameters and items inside the row, without exploding it."""
+"""Reading event parameters and items inside the row, without exploding it.
 
-from __future__ import annotations
+Each function gives SQL expression text.
+"""
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
+from __future__ import annotations
 
 from .numbers import double_text, safe_double, safe_product
 
 
 def value_text(value: str) -> str:
-    """SQL: the first filled field of a parameter value, as text: string, int, float, double."""
+    """The first filled field of a parameter value, as text: string, int, float, double."""
     return f"""coalesce({value}.string_value, cast({value}.int_value AS string),
         {double_text(f'{value}.float_value')}, {double_text(f'{value}.double_value')})"""
 
 
-def _largest(params: str, key: str, reading: str) -> Column:
-    return F.expr(
-        f"array_max(transform(filter({params}, p -> p.key = '{key}'), p -> {reading}))"
-    )
+def _largest(params: str, key: str, reading: str) -> str:
+    return f"array_max(transform(filter({params}, p -> p.key = '{key}'), p -> {reading}))"
 
 
-def param_text(params: str, key: str) -> Column:
+def param_text(params: str, key: str) -> str:
     """Largest text among the event's parameters of that key, NULL when it has none."""
     return _largest(params, key, value_text("p.value"))
 
 
-def param_int(params: str, key: str) -> Column:
+def param_int(params: str, key: str) -> str:
     """Largest ``int_value`` among the event's parameters of that key."""
     return _largest(params, key, "p.value.int_value")
 
 
-def param_number(params: str, key: str) -> Column:
+def param_number(params: str, key: str) -> str:
     """Largest numeric reading among the event's parameters of that key."""
     return _largest(params, key, safe_double(value_text("p.value")))
 
 
-def item_count(items: str) -> Column:
+def item_count(items: str) -> str:
     """Number of items on the event; 0 for a NULL array."""
-    return F.expr(f"cast(CASE WHEN {items} IS NULL THEN 0 ELSE size({items}) END AS bigint)")
+    return f"cast(CASE WHEN {items} IS NULL THEN 0 ELSE size({items}) END AS bigint)"
 
 
-def item_total(items: str) -> Column:
+def item_total(items: str) -> str:
     """Sum of price x quantity over the event's items, NULL when no item has a value."""
     values = f"filter(transform({items}, i -> {safe_product('i.price', 'i.quantity')}), v -> v IS NOT NULL)"
-    return F.expr(
-        f"CASE WHEN size({values}) > 0 THEN aggregate({values}, 0D, (total, v) -> total + v) END"
-    )
+    return f"CASE WHEN size({values}) > 0 THEN aggregate({values}, 0D, (total, v) -> total + v) END"

@@ -37,8 +37,10 @@ def pivot_params(
 ) -> DataFrame:
     """One row per ``by`` group with the largest value of each key: ``{column: key}``.
 
-    The arrays are read inside the row, so only the wanted values are shuffled, and they are
-    combined before the shuffle.
+    Groups in which no event has any of the keys are left out. The arrays are read inside the row,
+    so only the wanted values are shuffled, and they are combined before the shuffle.
     """
-    read = df.select(*by, *[typed(params, key).alias(name) for name, key in keys.items()])
+    wanted = ", ".join(f"'{key}'" for key in keys.values())
+    carrying = df.filter(f"exists({params}, p -> p.key IN ({wanted}))")
+    read = carrying.selectExpr(*by, *[f"{typed(params, key)} AS {name}" for name, key in keys.items()])
     return read.groupBy(*by).agg(*[F.max(name).alias(name) for name in keys])

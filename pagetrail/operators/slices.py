@@ -24,6 +24,12 @@ def gap_micros(gap_minutes: int = GAP_MINUTES) -> int:
     return (gap_minutes + 1) * MICROS_PER_MINUTE
 
 
+def slice_width(gap_minutes: int = GAP_MINUTES, slice_minutes: int | None = None) -> int:
+    """Width of a slice in microseconds: as asked for, but never wider than a session gap."""
+    widest = gap_micros(gap_minutes)
+    return widest if slice_minutes is None else min(widest, slice_minutes * MICROS_PER_MINUTE)
+
+
 def slice_start(ts: str, width: int) -> str:
     """SQL: start of the slice that holds the instant."""
     return floor_to(ts, width)

@@ -17,7 +17,14 @@ from pyspark.sql import functions as F
 
 from ..functions import fixed
 from ..functions.params import item_count, item_total, param_number, param_text
-from ..operators.slices import count_before, gap_micros, number_sessions, slice_start, user_key, user_of
+from ..operators.slices import (
+    count_before,
+    number_sessions,
+    slice_start,
+    slice_width,
+    user_key,
+    user_of,
+)
 from ..sources.export import save_table
 
 USER = "user_pseudo_id"
@@ -47,6 +54,10 @@ class EventCore:
     Each mart computes only the columns it uses. ``bare`` is the export without its nested columns,
     for a source that gives that more cheaply than by column pruning. ``slices`` and ``moments``
     can be given as stored tables.
+
+    The largest piece of work is what one user does within one slice. Slices are as wide as the
+    session rule allows; ``slice_minutes`` makes them narrower where one user, or the events
+    without a user, are very dense. Results do not depend on it.
     """
 
     def __init__(
@@ -56,42 +67,47 @@ class EventCore:
         slices: DataFrame | None = None,
         moments: DataFrame | None = None,
         gap_minutes: int = fixed.GAP_MINUTES,
+        slice_minutes: int | None = None,
     ) -> None:
         self.raw = raw
         self.bare = raw if bare is None else bare
         self.gap_minutes = gap_minutes
+        self.slice_minutes = slice_minutes
+        self.width = slice_width(gap_minutes, slice_minutes)
         self._slices = slices
         self._moments = moments
 
     @cached_property
     def slices(self) -> DataFrame:
-        return self._slices or build_slices(self.bare, self.gap_minutes)
+        if self._slices is not None:
+            return self._slices
+        return build_slices(self.bare, self.gap_minutes, self.width)
 
     @cached_property
     def moments(self) -> DataFrame:
-        return self._moments or build_moments(self.raw, self.slices, self.gap_minutes)
+        if self._moments is not None:
+            return self._moments
+        return build_moments(self.raw, self.slices, self.width)
 
 
 def user() -> Column:
     return F.expr(f"{user_of(KEY)} AS {USER}")
 
 
-def keyed(raw: DataFrame, gap_minutes: int = fixed.GAP_MINUTES) -> DataFrame:
+def keyed(raw: DataFrame, width: int) -> DataFrame:
     """Add the non-NULL user key and the time slice."""
     return raw.selectExpr(
-        "*",
-        f"{user_key(USER)} AS {KEY}",
-        f"{slice_start(TS, gap_micros(gap_minutes))} AS slice",
+        "*", f"{user_key(USER)} AS {KEY}", f"{slice_start(TS, width)} AS slice"
     )
 
 
-def build_slices(raw: DataFrame, gap_minutes: int = fixed.GAP_MINUTES) -> DataFrame:
+def build_slices(raw: DataFrame, gap_minutes: int, width: int) -> DataFrame:
     """(user, slice) rows with counts, session and what came before in the session.
 
     Positions of events without a user run over all of them, whatever the session.
     """
     counted = (
-        keyed(raw, gap_minutes)
+        keyed(raw, width)
         .groupBy(*UNIT)
         .agg(
             F.expr(f"min({TS}) AS first_ts"),
@@ -113,19 +129,23 @@ def build_slices(raw: DataFrame, gap_minutes: int = fixed.GAP_MINUTES) -> DataFr
     )
 
 
-def _shared_moments(raw: DataFrame, gap_minutes: int) -> DataFrame:
-    """Events with shared values, before sessions are known; all work is local to (user, slice)."""
+def _shared_moments(raw: DataFrame, width: int) -> DataFrame:
+    """Events with shared values, before sessions are known; all work is local to (user, slice).
+
+    Nothing is looked up for events without a user, so their values are not even shuffled.
+    """
+    values = {c: param_text("event_params", key) for c, key in _TEXTS.items()}
+    values["percent_scrolled"] = param_number("event_params", fixed.PERCENT_SCROLLED)
+    values["item_rows"] = item_count("items")
+    values["item_total"] = item_total("items")
     rows = (
-        keyed(raw, gap_minutes)
+        keyed(raw, width)
         .select(
             *UNIT,
             TS,
             "event_date",
             "event_name",
-            *[param_text("event_params", key).alias(c) for c, key in _TEXTS.items()],
-            param_number("event_params", fixed.PERCENT_SCROLLED).alias("percent_scrolled"),
-            item_count("items").alias("item_rows"),
-            item_total("items").alias("item_total"),
+            *[F.expr(f"CASE WHEN {KNOWN} THEN {value} END AS {c}") for c, value in values.items()],
         )
         .repartition(*UNIT)
     )
@@ -152,16 +172,14 @@ def _shared_moments(raw: DataFrame, gap_minutes: int) -> DataFrame:
     per_name = f"PARTITION BY {KEY}, slice, {TS}, event_name ORDER BY event_date"
     return shared.selectExpr(
         "*",
-        f"""CASE WHEN {KNOWN} AND item_rows > 0 AND row_number() OVER ({per_name}) = 1
+        f"""CASE WHEN item_rows > 0 AND row_number() OVER ({per_name}) = 1
                  THEN CASE WHEN event_name = '{fixed.PURCHASE}' THEN item_total ELSE 0D END
             END AS revenue""",
     )
 
 
-def build_moments(
-    raw: DataFrame, slices: DataFrame, gap_minutes: int = fixed.GAP_MINUTES
-) -> DataFrame:
-    """Events with session and positions. Shared values stay NULL for events without a user."""
+def build_moments(raw: DataFrame, slices: DataFrame, width: int) -> DataFrame:
+    """Events with session and positions. Shared values are NULL for events without a user."""
     tags = [
         "session_number",
         "session_first",
@@ -172,13 +190,13 @@ def build_moments(
         "sessions_per_user",
         "events_per_user",
     ]
-    tagged = _shared_moments(raw, gap_minutes).join(slices.select(*UNIT, *tags), UNIT)
+    tagged = _shared_moments(raw, width).join(slices.select(*UNIT, *tags), UNIT)
     return tagged.selectExpr(
         *UNIT,
         TS,
         "event_date",
         "event_name",
-        *[f"CASE WHEN {KNOWN} THEN {c} END AS {c}" for c in _SHARED],
+        *_SHARED,
         "revenue",
         "session_number",
         "session_first",
@@ -194,5 +212,5 @@ def build_moments(
 def store_core(core: EventCore, folder: str) -> EventCore:
     """Write the core below a shared folder and return it as read back."""
     slices = save_table(core.slices, f"{folder}/slices")
-    moments = save_table(build_moments(core.raw, slices, core.gap_minutes), f"{folder}/moments")
-    return EventCore(core.raw, core.bare, slices, moments, core.gap_minutes)
+    moments = save_table(build_moments(core.raw, slices, core.width), f"{folder}/moments")
+    return EventCore(core.raw, core.bare, slices, moments, core.gap_minutes, core.slice_minutes)

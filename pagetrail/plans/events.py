@@ -140,7 +140,7 @@ def item_performance(core: EventCore) -> DataFrame:
         .groupBy(*UNIT, TS, "event_name", "session_number")
         .agg(F.min("event_date").alias("event_date"), F.max("page_location").alias("page_location"))
     )
-    sold = keyed(core.raw, core.gap_minutes).filter(F.col(USER).isNotNull())
+    sold = keyed(core.raw, core.width).filter(F.col(USER).isNotNull())
     items = flatten_items(sold, [*UNIT, TS], _ITEM)
     value = safe_product("price", "quantity")
     return items.join(named, [*UNIT, TS]).selectExpr(

@@ -98,7 +98,7 @@ def funnels(
     core: EventCore, steps: Sequence[tuple[str, str, int]] = fixed.FUNNEL_STEPS
 ) -> DataFrame:
     """First time of each funnel step per session of a known user."""
-    hits = keyed(core.bare, core.gap_minutes).filter(
+    hits = keyed(core.bare, core.width).filter(
         F.col("event_name").isin(*{name for _, name, _ in steps}) & F.expr(KNOWN)
     )
     numbered = hits.join(core.slices.select(*UNIT, "session_number"), UNIT)

@@ -42,6 +42,6 @@ def stg_events(raw: DataFrame) -> DataFrame:
 def stg_sessions(core: EventCore) -> DataFrame:
     """Events with their session number; events without a user are numbered as one user."""
     numbers = core.slices.select(*UNIT, "session_number")
-    return keyed(core.bare, core.gap_minutes).join(numbers, UNIT).select(
+    return keyed(core.bare, core.width).join(numbers, UNIT).select(
         USER, TS, "event_name", "event_date", "session_number"
     )

@@ -14,6 +14,12 @@ SETTINGS = {
     "spark.sql.requireAllClusterKeysForCoPartition": "false",
 }
 
+# settings that have to be given when the session is created
+STATIC_SETTINGS = {
+    # a session that runs many different queries keeps their generated code
+    "spark.sql.codegen.cache.maxEntries": "5000",
+}
+
 
 def configure(spark: SparkSession) -> SparkSession:
     """Apply the settings to a running session."""

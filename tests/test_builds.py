@@ -9,7 +9,7 @@ from conftest import SF_DIR
 from pyspark.sql import functions as F
 
 from pagetrail.plans import events, jobs, reports, sessions
-from pagetrail.plans.core import EventCore, build_slices, store_core
+from pagetrail.plans.core import EventCore, store_core
 from pagetrail.sources.export import read_export, write_export
 from pagetrail.sources.testsite import testsite_export as site_export
 
@@ -89,6 +89,13 @@ def test_result_does_not_depend_on_partitioning(spark, raw, mart):
     assert results[0] == results[1]
 
 
+@pytest.mark.parametrize(
+    "mart", [sessions.sessions, events.events, events.user_journey_paths, sessions.session_summary]
+)
+def test_result_does_not_depend_on_slice_width(raw, core, mart):
+    assert bag(mart(EventCore(raw, slice_minutes=1))) == bag(mart(core))
+
+
 def test_build_and_views(spark, core, tmp_path):
     tables = jobs.build(core, str(tmp_path), ["fct_sessions", "fct_pageviews", *jobs.STORED])
     assert set(tables) == {"fct_sessions", "fct_pageviews", *jobs.STORED}
@@ -139,7 +146,7 @@ def test_events_are_shuffled_once(spark, raw, bare_planning):
 
 
 def test_slices_combine_before_the_shuffle(spark, raw, bare_planning):
-    plan = plan_of(spark, build_slices(raw).select("session_number", "session_first"))
+    plan = plan_of(spark, EventCore(raw).slices.select("session_number", "session_first"))
     assert plan.count("Exchange") == 2
     assert "partial_min" in plan and "event_params" not in plan
 
