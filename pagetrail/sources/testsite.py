@@ -109,69 +109,56 @@ def _base(events: DataFrame) -> DataFrame:
 
 
 def _with_params(base: DataFrame, pages: DataFrame) -> DataFrame:
-    pages_count = _size(pages)
-    per_hundred = F.floor(pages_count / 100) + 1
-    page_no = F.pmod(F.col("k") + 100 * F.pmod(F.col("event_id"), per_hundred), pages_count)
-    numbered = base.withColumn("page_no", page_no).withColumn(
-        "referrer_no", F.pmod(F.col("page_no") * 7, pages_count)
+    """Location and referrer pages by number; each page is used by about as many events."""
+    count = _size(pages)
+    numbered = base.select(
+        "*",
+        F.pmod(
+            F.col("k") + 100 * F.pmod(F.col("event_id"), F.floor(count / 100) + 1), count
+        ).alias("page_no"),
     )
-    location = pages.select(F.col("page_id").alias("page_no"), "url")
-    referrer = pages.select(
-        F.col("page_id").alias("referrer_no"), F.col("url").alias("referrer_url")
+    referred = numbered.select("*", F.pmod(F.col("page_no") * 7, count).alias("referrer_no"))
+    joined = referred.join(pages.selectExpr("page_id AS page_no", "url"), "page_no", "left").join(
+        pages.selectExpr("page_id AS referrer_no", "url AS referrer_url"), "referrer_no", "left"
     )
-    joined = numbered.join(location, "page_no", "left").join(referrer, "referrer_no", "left")
-    filled = F.filter(F.expr(f"array({', '.join(_PARAMS)})"), lambda p: p.isNotNull())
-    params = (
-        F.when(F.col("k") == 97, F.lit(None))
-        .when(F.col("k") == 98, F.slice(filled, 1, 0))
-        .otherwise(filled)
-    )
-    return joined.withColumn("event_params", params.cast(EVENTS["event_params"].dataType))
+    filled = f"filter(array({', '.join(_PARAMS)}), p -> p IS NOT NULL)"
+    params = f"CASE WHEN k <> 97 THEN slice({filled}, 1, CASE WHEN k = 98 THEN 0 ELSE 99 END) END"
+    array_type = EVENTS["event_params"].dataType.simpleString()
+    return joined.selectExpr(*base.columns, f"cast({params} AS {array_type}) AS event_params")
 
 
 def _with_items(base: DataFrame, part: DataFrame) -> DataFrame:
     """Up to three consecutive parts per event, found by one join on the first part's number."""
-    parts_count = _size(part)
+    count = _size(part)
     runs = (
-        part.withColumn("j", F.explode(F.array(F.lit(0), F.lit(1), F.lit(2))))
-        .withColumn("part_no", F.pmod(F.col("p_partkey") - F.col("j"), parts_count))
+        part.selectExpr("*", "explode(array(0, 1, 2)) AS j")
+        .withColumn("part_no", F.pmod(F.col("p_partkey") - F.col("j"), count))
         .groupBy("part_no")
         .agg(
-            F.sort_array(
-                F.collect_list(
-                    F.struct("j", "p_partkey", "p_name", "p_brand", "p_type", "p_size", "p_retailprice")
-                )
-            ).alias("parts")
+            F.expr(
+                """sort_array(collect_list(struct(
+                     j, p_partkey, p_name, p_brand, p_type, p_size, p_retailprice))) AS parts"""
+            )
         )
     )
-    k = F.col("k")
     fill = {
-        "item_id": lambda p: F.when(
-            (k + p["j"]) % 29 != 0, F.concat(F.lit("P"), p["p_partkey"].cast("string"))
-        ),
-        "item_name": lambda p: p["p_name"],
-        "item_brand": lambda p: p["p_brand"],
-        "item_category": lambda p: p["p_type"],
-        "item_category2": lambda p: F.concat(F.lit("size"), p["p_size"].cast("string")),
-        "price": lambda p: F.when(k % 13 != 0, p["p_retailprice"]),
-        "quantity": lambda p: F.lit(1) + k % 4,
+        "item_id": "CASE WHEN (k + p.j) % 29 <> 0 THEN concat('P', p.p_partkey) END",
+        "item_name": "p.p_name",
+        "item_brand": "p.p_brand",
+        "item_category": "p.p_type",
+        "item_category2": "concat('size', p.p_size)",
+        "price": "CASE WHEN k % 13 <> 0 THEN p.p_retailprice END",
+        "quantity": "1 + k % 4",
     }
-
-    def item(p: Column) -> Column:
-        return F.struct(
-            *[
-                (fill[f.name](p) if f.name in fill else F.lit(None)).cast(f.dataType).alias(f.name)
-                for f in ITEM.fields
-            ]
-        )
-
-    sells = F.col("event_name").isin("view_item", "add_to_cart", "begin_checkout", "purchase")
-    items = F.transform(F.slice("parts", F.lit(1), (F.lit(1) + k % 3).cast("int")), item)
-    return (
-        base.withColumn("part_no", F.pmod(F.col("event_id") * 3, parts_count))
-        .join(runs, "part_no", "left")
-        .withColumn("items", F.when(sells, items))
+    fields = ", ".join(
+        f"'{f.name}', cast({fill.get(f.name, 'NULL')} AS {f.dataType.simpleString()})"
+        for f in ITEM.fields
     )
+    items = f"""CASE WHEN event_name IN ('view_item', 'add_to_cart', 'begin_checkout', 'purchase')
+                THEN transform(slice(parts, 1, cast(1 + k % 3 AS int)), p -> named_struct({fields}))
+                END AS items"""
+    numbered = base.select("*", F.pmod(F.col("event_id") * 3, count).alias("part_no"))
+    return numbered.join(runs, "part_no", "left").selectExpr(*base.columns, items)
 
 
 def testsite_export(
@@ -181,10 +168,9 @@ def testsite_export(
     export = _base(_spread(_rows(spark, sf_dir, "events")))
     if params:
         export = _with_params(export, _rows(spark, sf_dir, "pages"))
-    else:
-        export = export.withColumn("event_params", F.lit(None).cast(EVENTS["event_params"].dataType))
     if items:
         export = _with_items(export, _rows(spark, sf_dir, "part"))
-    else:
-        export = export.withColumn("items", F.lit(None).cast(EVENTS["items"].dataType))
-    return export.select(*EVENTS.names)
+    empty = {
+        f.name: F.lit(None).cast(f.dataType) for f in EVENTS.fields if f.name not in export.columns
+    }
+    return export.withColumns(empty).select(*EVENTS.names)
