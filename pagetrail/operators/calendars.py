@@ -21,30 +21,30 @@ def calendar(
 def calendar_between(bounds: DataFrame, start: Column, end: Column) -> DataFrame:
     """Calendar attributes of every day between the two dates of a one-row DataFrame."""
     days = bounds.select(F.explode(F.sequence(start, end)).alias("date"))
-    day = F.col("date")
-    weekday = F.dayofweek(day)
-    year, quarter = F.year(day), F.quarter(day)
-    year_start = F.trunc(day, "year")
-    quarter_start = F.trunc(day, "quarter")
-    return days.select(
-        "date",
-        year.cast("long").alias("year"),
-        quarter.cast("long").alias("quarter"),
-        F.month(day).cast("long").alias("month"),
-        F.dayofmonth(day).cast("long").alias("day"),
-        weekday.cast("long").alias("day_of_week"),
+    return days.selectExpr("date", *[f"{sql} AS {name}" for name, sql in attributes("date").items()])
+
+
+def attributes(day: str) -> dict[str, str]:
+    """SQL of each calendar attribute of a date."""
+    weekday, quarter_start = f"dayofweek({day})", f"trunc({day}, 'quarter')"
+    return {
+        "year": f"cast(year({day}) AS bigint)",
+        "quarter": f"cast(quarter({day}) AS bigint)",
+        "month": f"cast(month({day}) AS bigint)",
+        "day": f"cast(dayofmonth({day}) AS bigint)",
+        "day_of_week": f"cast({weekday} AS bigint)",
         # weeks start on Sunday; days before the year's first Sunday are week 0
-        F.floor((F.dayofyear(day) + 7 - weekday) / 7).cast("long").alias("week_of_year"),
-        F.date_format(day, "EEEE").alias("day_name"),
-        F.date_format(day, "MMMM").alias("month_name"),
-        F.date_format(day, "yyyy-MM").alias("year_month"),
-        F.concat(year.cast("string"), F.lit("-Q"), quarter.cast("string")).alias("year_quarter"),
-        weekday.isin(1, 7).alias("is_weekend"),
-        weekday.isin(2, 3, 4, 5, 6).alias("is_weekday"),
-        F.trunc(day, "month").alias("month_start"),
-        F.last_day(day).alias("month_end"),
-        quarter_start.alias("quarter_start"),
-        F.last_day(F.add_months(quarter_start, 2)).alias("quarter_end"),
-        year_start.alias("year_start"),
-        F.date_add(year_start, 364).alias("approx_year_end"),
-    )
+        "week_of_year": f"(dayofyear({day}) + 7 - {weekday}) div 7",
+        "day_name": f"date_format({day}, 'EEEE')",
+        "month_name": f"date_format({day}, 'MMMM')",
+        "year_month": f"date_format({day}, 'yyyy-MM')",
+        "year_quarter": f"concat(year({day}), '-Q', quarter({day}))",
+        "is_weekend": f"{weekday} IN (1, 7)",
+        "is_weekday": f"{weekday} IN (2, 3, 4, 5, 6)",
+        "month_start": f"trunc({day}, 'month')",
+        "month_end": f"last_day({day})",
+        "quarter_start": quarter_start,
+        "quarter_end": f"last_day(add_months({quarter_start}, 2))",
+        "year_start": f"trunc({day}, 'year')",
+        "approx_year_end": f"date_add(trunc({day}, 'year'), 364)",
+    }

@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 from ..functions import fixed
 from ..functions.labels import page_type, source_label
 from ..functions.urls import canonical_url
+from ..operators.calendars import attributes
 from .core import KEY, KNOWN, EventCore
-from .dimensions import dim_date_covering, dim_pages
+from .dimensions import dim_pages
 from .events import ordered_views, user_journey_paths
 from .sessions import (
     daily_overview,
@@ -49,13 +50,17 @@ def kpi_totals(core: EventCore) -> DataFrame:
 
 def daily_trend(core: EventCore, grain: str = "date") -> DataFrame:
     """Sessions and revenue over time; ``grain`` is a calendar column such as ``year_month``."""
-    daily = daily_overview(core).select(
-        F.col("event_date").alias("date"), "daily_sessions", "daily_revenue"
-    )
-    dated = daily.join(dim_date_covering(core.bare), "date")
+    of_day = attributes("event_date")
+    daily = daily_overview(core)
     if grain == "date":
-        return dated.select("date", "year_month", "year_quarter", "daily_sessions", "daily_revenue")
-    return dated.groupBy(grain).agg(
+        return daily.selectExpr(
+            "event_date AS date",
+            f"{of_day['year_month']} AS year_month",
+            f"{of_day['year_quarter']} AS year_quarter",
+            "daily_sessions",
+            "daily_revenue",
+        )
+    return daily.groupBy(F.expr(of_day[grain]).alias(grain)).agg(
         F.sum("daily_sessions").alias("sessions"), F.sum("daily_revenue").alias("revenue")
     )
 

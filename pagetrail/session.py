@@ -10,6 +10,7 @@ SETTINGS = {
     # re-plan at run time: split skewed join partitions, merge small shuffle partitions
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     # a join on more columns than the data is partitioned by needs no new shuffle
     "spark.sql.requireAllClusterKeysForCoPartition": "false",
 }
