@@ -15,10 +15,10 @@ def con():
 
 
 def test_every_query_has_sql():
-    assert set(registry.queries()) == set(registry.oracle_sql())
+    assert set(registry.site_queries()) == set(registry.site_sql())
 
 
-@pytest.mark.parametrize("name", list(registry.queries()))
+@pytest.mark.parametrize("name", list(registry.site_queries()))
 def test_query_equals_sql(spark, con, name):
     equal, note = compare(spark, con, name, SF_DIR)
     assert equal, note
