@@ -67,6 +67,8 @@ def line_dedup(docs: DataFrame, min_chars: int = 40, min_docs: int = 5) -> DataF
         .agg(F.count_distinct("doc").alias("n"), F.max("doc").alias("keeper"))
         .where(F.col("n") >= min_docs)
     )
+    # a join of two tables: only then can adaptive execution split a line that a third of all rows hold
+    common = stored(common, "common")
     drops = (
         rows.join(common, "line")
         .where("doc < keeper")

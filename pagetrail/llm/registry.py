@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
-from . import lines, rules, sharding
+from . import lines, neardup, rules, sharding
 
 QUERIES = {
     "op7_line_dedup": lines.op7_line_dedup,
     "op8_stratified_sharding": sharding.op8_stratified_sharding,
     "op9_quality_rules": rules.op9_quality_rules,
+    "op10_minhash_near_dedup": neardup.op10_minhash_near_dedup,
 }
 
 ORACLES = {
     "op7_line_dedup": lines.SQL,
     "op8_stratified_sharding": sharding.SQL,
     "op9_quality_rules": rules.SQL,
+    "op10_minhash_near_dedup": neardup.SQL,
 }

@@ -197,23 +197,16 @@ def quality_rules(docs: DataFrame) -> DataFrame:
     limits = stored(fences(sketches(counted)), "fences")
     names = [c for c in limits.columns if c.endswith(("_low", "_high"))]
 
-    def level(k: int, *keys: str) -> DataFrame:
-        chosen = limits.where(F.col("level") == k)
-        if k < 2:
-            chosen = chosen.where(F.col("members") >= MIN_GROUP)
-        renamed = {key: f"{key}{k}" for key in keys} | {n: f"{n}{k}" for n in names}
-        return chosen.select(*keys, *names).withColumnsRenamed(renamed)
-
-    # thresholds of every (language, source) first: a small table, joined once with the documents
-    table = limits.where("level = 0").select("lang", "source")
-    table = table.join(level(0, "lang", "source"), F.expr("lang <=> lang0 and source <=> source0"), "left")
-    table = table.join(level(1, "lang"), F.expr("lang <=> lang1"), "left")
-    table = table.withColumn("one", F.lit(1)).join(level(2).withColumn("one2", F.lit(1)), F.expr("one = one2"), "left")
-    table = table.select(
-        F.col("lang").alias("lang_of"),
-        F.col("source").alias("source_of"),
-        *[F.coalesce(*[F.col(f"{n}{k}") for k in range(3)]).alias(n) for n in names],
-    )
+    # thresholds of every (language, source) first, from the finest level that is large enough: a small
+    # table, joined once with the documents
+    none = F.lit(None).cast("string")
+    keys = ((F.col("lang"), F.col("source")), (F.col("lang"), none), (none, none))
+    levels = F.array(*[F.struct(F.lit(k).alias("at"), a.alias("l"), b.alias("s")) for k, (a, b) in enumerate(keys)])
+    wanted = limits.where("level = 0").select(F.col("lang").alias("lang_of"), F.col("source").alias("source_of"), F.explode(levels).alias("w"))
+    enough = limits.where((F.col("level") == 2) | (F.col("members") >= MIN_GROUP))
+    table = wanted.join(enough, F.expr("w.at = level and w.l <=> lang and w.s <=> source"))
+    finest = F.min_by(F.struct(*names), F.col("level")).alias("limit")
+    table = stored(table.groupBy("lang_of", "source_of").agg(finest).select("lang_of", "source_of", "limit.*"), "limits")
     joined = counted.join(table, F.expr("lang <=> lang_of and source <=> source_of"), "left")
     passes = ~F.col("base_failed")
     for r in RULES:
