@@ -125,6 +125,54 @@ def similar(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return with_a.sortWithinPartitions("a").mapInArrow(compute, "a long, b long")
 
 
+def _shingle_rows(docs: DataFrame) -> DataFrame:
+    """(doc, version, n, component, shingle) of (doc, text, component); ``version`` tells texts of an id apart."""
+
+    def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for first, texts in groups(batch, "text"):
+                values, edges = shingle_sets(find_words(texts, lower=True), SHINGLE)
+                n = np.diff(edges)
+                at = pa.array(np.repeat(np.arange(len(texts)), n))
+                doc, version, component = (batch.column(i).slice(first, len(texts)).take(at) for i in (0, 2, 3))
+                arrays = [doc, version, pa.array(np.repeat(n, n)), component, _signed(values)]
+                yield pa.RecordBatch.from_arrays(arrays, ["doc", "version", "n", "component", "shingle"])
+
+    rows = docs.select("doc", "text", F.xxhash64("text").alias("version"), "component")
+    return rows.mapInArrow(compute, "doc long, version long, n long, component long, shingle long")
+
+
+def pairs_across(docs: DataFrame) -> DataFrame:
+    """Pairs (a, b) of ``docs`` (doc, text, component) in different components that may be similar: a prefix
+    join, which misses none.
+
+    Two sets that are similar share a shingle among the rarest quarter of each. Shingles that one
+    document alone has count against it: a document with more than a quarter of such is similar to none, and
+    two documents share at most as many shingles as either shares with any. Of a hot shingle, only
+    documents outside of its largest component are paired with the others.
+    """
+    rows = stored(_shingle_rows(docs), "shingles")
+    counts = stored(rows.groupBy("shingle").agg(F.count("*").alias("count")).where("count > 1"), "counts")
+    shared = rows.join(counts, "shingle").groupBy("doc", "version", "n", "component")
+    shared = shared.agg(F.sort_array(F.collect_list(F.struct("count", "shingle"))).alias("list"), F.count("*").alias("s"))
+    needed = f"cast(({SIMILAR} * n + 99) div 100 as int)"
+    prefix = shared.where(f"s >= {needed}").select(
+        "doc", "n", "s", "component", F.explode(F.expr(f"slice(list, 1, int(s) - {needed} + 1)")).alias("e")
+    )
+    prefix = stored(prefix.select("doc", "n", "s", "component", "e.shingle").distinct(), "prefix")
+    sizes = prefix.groupBy("shingle", "component").agg(F.count("*").alias("size")).groupBy("shingle")
+    largest = F.max(F.struct("size", "component"))["component"].alias("main")
+    several = stored(sizes.agg(largest, F.count("*").alias("parts")).where("parts > 1").select("shingle", "main"), "main")
+    prefix = stored(prefix.join(several, "shingle"), "prefix")
+    left = prefix.where("component <> main").select("shingle", "doc", "n", "s", "component")
+    right = prefix.toDF("shingle", "doc_2", "n_2", "s_2", "component_2", "main")
+    both = f"{100 + SIMILAR} * least(s, s_2) >= {SIMILAR} * (n + n_2)"
+    pairs = left.join(right, "shingle").where(
+        f"component <> component_2 and (component_2 = main or doc < doc_2) and {both}"
+    )
+    return pairs.select(F.least("doc", "doc_2").alias("a"), F.greatest("doc", "doc_2").alias("b")).distinct()
+
+
 def _close_sizes(a: str, b: str) -> str:
     return f"100 * least({a}, {b}) >= {SIMILAR} * greatest({a}, {b})"
 
@@ -141,8 +189,9 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     2. Multi-index: each class gives 40 keys, one for each chunk of its signature and symbol left out.
     3. In each bucket of a key, every class is compared with the smallest one, on full sets: a star instead of
        all pairs. Components of these links follow.
-    4. What a star can miss: in buckets that still hold several components, classes of different components
-       are compared as well. With it, every pair that shares a key is compared or already connected.
+    4. What a star can miss: classes in buckets that still hold several components go through an exact
+       join for pairs of different components (``pairs_across``). With it, every similar pair that shares
+       a key is linked or already connected.
 
     Texts of classes that share a bucket are stored once and joined to the pairs. A null or empty text, or one
     without words, has no shingle and is linked with nothing. Rows with the same id are one document. A row
@@ -173,14 +222,11 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     labels = stored(components(links), "labels")
 
     rest = members.where("size > 2").join(labels.toDF("doc", "component"), "doc", "left")
-    rest = stored(rest.withColumn("component", F.coalesce("component", "doc")), "rest")
+    rest = stored(rest.select("key", "doc", F.coalesce("component", "doc").alias("component")), "rest")
     open_keys = rest.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"))
     open_keys = stored(open_keys.where("low <> high").select("key"), "open")
-    rest = stored(rest.join(open_keys, "key").where("doc <> hub").select("key", "doc", "n", "component"), "rest")
-    left, right = rest.toDF("key", "a", "n", "component"), rest.toDF("key", "b", "n_b", "component_b")
-    # pairs of two components only; those with the hub have been compared
-    across = left.join(right, "key").where("a < b and component <> component_b and " + _close_sizes("n", "n_b"))
-    across = across.select("a", "b").distinct()
+    rest = rest.join(open_keys, "key").select("doc", "component").distinct()
+    across = pairs_across(texts.join(rest, "doc"))
     more = stored(similar(across, texts), "links")
     if not more.isEmpty():
         labels = stored(components(links.unionByName(more)), "labels")
