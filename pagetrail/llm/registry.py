@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from . import lines, neardup, rules, sharding
+from . import lines, neardup, rules, sharding, substrings
 
 QUERIES = {
+    "op6_substring_dedup": substrings.op6_substring_dedup,
     "op7_line_dedup": lines.op7_line_dedup,
     "op8_stratified_sharding": sharding.op8_stratified_sharding,
     "op9_quality_rules": rules.op9_quality_rules,
@@ -12,6 +13,7 @@ QUERIES = {
 }
 
 ORACLES = {
+    "op6_substring_dedup": substrings.SQL,
     "op7_line_dedup": lines.SQL,
     "op8_stratified_sharding": sharding.SQL,
     "op9_quality_rules": rules.SQL,
