@@ -146,10 +146,11 @@ def pairs_across(docs: DataFrame) -> DataFrame:
     """Pairs (a, b) of ``docs`` (doc, text, component) in different components that may be similar: a prefix
     join, which misses none.
 
-    Two sets that are similar share a shingle among the rarest quarter of each. Shingles that one
-    document alone has count against it: a document with more than a quarter of such is similar to none, and
-    two documents share at most as many shingles as either shares with any. Of a hot shingle, only
-    documents outside of its largest component are paired with the others.
+    Two sets that are similar share a shingle among the rarest quarter of each. Let each set be sorted by
+    rareness, those that no other has first. At the rarest shingle that two sets share, what is left of either
+    must hold all that they share; pairs are formed only where that suffices. So a document with many changes
+    of its own does not meet the others of its family through their common, hot shingles. Of a
+    hot shingle, only documents outside of its largest component are paired with the others.
     """
     rows = stored(_shingle_rows(docs), "shingles")
     counts = stored(rows.groupBy("shingle").agg(F.count("*").alias("count")).where("count > 1"), "counts")
@@ -157,16 +158,18 @@ def pairs_across(docs: DataFrame) -> DataFrame:
     shared = shared.agg(F.sort_array(F.collect_list(F.struct("count", "shingle"))).alias("list"), F.count("*").alias("s"))
     needed = f"cast(({SIMILAR} * n + 99) div 100 as int)"
     prefix = shared.where(f"s >= {needed}").select(
-        "doc", "n", "s", "component", F.explode(F.expr(f"slice(list, 1, int(s) - {needed} + 1)")).alias("e")
+        "doc", "n", "s", "component", F.posexplode(F.expr(f"slice(list, 1, int(s) - {needed} + 1)")).alias("at", "e")
     )
-    prefix = stored(prefix.select("doc", "n", "s", "component", "e.shingle").distinct(), "prefix")
+    # what is left of the document from here on, in the order of rareness
+    prefix = prefix.select("doc", "n", (F.col("s") - F.col("at")).alias("left"), "component", "e.shingle")
+    prefix = stored(prefix, "prefix")
     sizes = prefix.groupBy("shingle", "component").agg(F.count("*").alias("size")).groupBy("shingle")
     largest = F.max(F.struct("size", "component"))["component"].alias("main")
     several = stored(sizes.agg(largest, F.count("*").alias("parts")).where("parts > 1").select("shingle", "main"), "main")
     prefix = stored(prefix.join(several, "shingle"), "prefix")
-    left = prefix.where("component <> main").select("shingle", "doc", "n", "s", "component")
-    right = prefix.toDF("shingle", "doc_2", "n_2", "s_2", "component_2", "main")
-    both = f"{100 + SIMILAR} * least(s, s_2) >= {SIMILAR} * (n + n_2)"
+    left = prefix.where("component <> main").select("shingle", "doc", "n", "left", "component")
+    right = prefix.toDF("shingle", "doc_2", "n_2", "left_2", "component_2", "main")
+    both = f"{100 + SIMILAR} * least(left, left_2) >= {SIMILAR} * (n + n_2)"
     pairs = left.join(right, "shingle").where(
         f"component <> component_2 and (component_2 = main or doc < doc_2) and {both}"
     )
