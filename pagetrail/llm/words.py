@@ -88,22 +88,33 @@ class Words(NamedTuple):
         return memoryview(self.data)
 
 
-def _word_edges(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+_IS_LETTER = np.zeros(256, bool)
+_IS_LETTER[list(range(65, 91)) + list(range(97, 123))] = True
+_IS_MARK = np.zeros(256, bool)
+_IS_MARK[list(b'!"#$%&()*+,-./:;<=>?@[\\]^_`{|}~')] = True
+
+
+def _word_edges(data: np.ndarray, cut: bool) -> tuple[np.ndarray, np.ndarray]:
     inside = np.zeros(len(data) + 2, np.int8)
     inside[1:-1] = ~IS_SPACE[data]
     step = np.diff(inside)
-    return np.flatnonzero(step == 1), np.flatnonzero(step == -1)
+    starts, ends = np.flatnonzero(step == 1), np.flatnonzero(step == -1)
+    if cut:
+        more = np.flatnonzero(_IS_LETTER[data[:-1]] & _IS_MARK[data[1:]]) + 1
+        starts, ends = np.sort(np.concatenate([starts, more])), np.sort(np.concatenate([ends, more]))
+    return starts, ends
 
 
-def find_words(texts: list[bytes], lower: bool = False) -> Words:
-    """Words of the texts; ``lower`` turns A-Z to a-z first."""
+def find_words(texts: list[bytes], lower: bool = False, cut: bool = False) -> Words:
+    """Words of the texts; ``lower`` turns A-Z to a-z first, ``cut`` also cuts between an ASCII letter and
+    ASCII punctuation other than an apostrophe."""
     whole = b" ".join([*texts, b""])
     if lower:
         whole = whole.lower()  # of bytes: ASCII letters only
     data = np.frombuffer(whole, np.uint8)
     lengths = np.fromiter((len(t) + 1 for t in texts), np.int64, len(texts))
     offsets = np.concatenate([[0], np.cumsum(lengths)])
-    starts, ends = _word_edges(data)
+    starts, ends = _word_edges(data, cut)
     hashes = np.empty(len(starts), U64)
     a = 0
     while a < len(starts):  # segments of whole words
