@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pagetrail.llm import lines
+from pagetrail.llm import lines, neardup, packing, quality, substrings
 from pagetrail.llm.storage import prepare, shared_folder
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -21,12 +21,44 @@ def _same_columns(new: DataFrame, docs: DataFrame) -> DataFrame:
     return new.select(*docs.columns)
 
 
+def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier rejects go. It learns from the labels of documents that are there."""
+    model = quality.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    scored = quality.score(docs, model)
+    return scored.where(F.col("score") >= quality.ACCEPT).select(*docs.columns)
+
+
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Common lines stay in one document. Every document stays, if only with an empty text."""
     return _same_columns(lines.line_dedup(docs), docs)
 
 
-STAGES: list[tuple[str, Stage]] = [("line_dedup", line_dedup)]
+def minhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates stays, that with the smallest id. Documents without
+    an id stay."""
+    gone = neardup.near_duplicates(docs).where("not kept").select(F.col("doc_id").alias("__gone")).distinct()
+    return docs.join(gone, F.col("doc_id") == F.col("__gone"), "left_anti").select(*docs.columns)
+
+
+def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Passages of 50 words and more stay in the smallest document that holds them."""
+    return _same_columns(substrings.substring_dedup(docs), docs)
+
+
+def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of the remaining texts and their places in sequences of 2048 tokens."""
+    import public_tokenizers
+
+    return packing.pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"))
+
+
+STAGES: list[tuple[str, Stage]] = [
+    ("quality_classifier", quality_classifier),
+    ("line_dedup", line_dedup),
+    ("minhash_near_dedup", minhash_near_dedup),
+    ("substring_dedup", substring_dedup),
+    ("best_fit_packing", best_fit_packing),
+]
 
 #: No SQL for the whole: the classifier is a compressor. See tests/llm.
 ORACLE_SQL = None

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from . import fingerprints, lines, neardup, packing, quality, rules, sharding, substrings
+from . import fingerprints, html, lines, neardup, packing, pieces, quality, rules, sharding, substrings
 
 QUERIES = {
     "op1_quality_classifier": quality.op1_quality_classifier,
     "op2_best_fit_packing": packing.op2_best_fit_packing,
     "op3_scaled_sketch": fingerprints.op3_scaled_sketch,
+    "op4_sampled_pieces": pieces.op4_sampled_pieces,
+    "op5_html_text": html.op5_html_text,
     "op6_substring_dedup": substrings.op6_substring_dedup,
     "op7_line_dedup": lines.op7_line_dedup,
     "op8_stratified_sharding": sharding.op8_stratified_sharding,
