@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from .ranking import ranked
 from .storage import prepare, stored
 from .tokens import word_tokenizer
-from .words import groups
+from .words import groups, larger
 
 CAPACITY = 2048
 #: Rounds of multiplicative weights, each with one knapsack.
@@ -146,7 +146,7 @@ def token_pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY) -> D
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = word_tokenizer(tokenizer)
-        for batch in batches:
+        for batch in larger(batches):
             for first, texts in groups(batch, "text"):
                 ids, edges = encoder.encode(texts)
                 raw = memoryview(ids.astype("<u4", copy=False)).cast("B")

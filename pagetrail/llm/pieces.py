@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .storage import prepare
-from .words import groups, mix, range_hashes
+from .words import GROUP, groups, larger, mix, range_hashes
 
 #: Units whose lattices are made at a time: bounds the memory for them.
 UNITS_AT_A_TIME = 10_000
@@ -207,9 +207,9 @@ def encode(rows: DataFrame, model: str, row_id: str = "doc_id", text: str = "tex
 
     def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lattices = _lattices(model)
-        for batch in batches:
+        for batch in larger(batches, 2 * GROUP):
             keys = batch.column(1).to_numpy().view(np.uint64)
-            for first, texts in groups(batch, "text"):
+            for first, texts in groups(batch, "text", 2 * GROUP):
                 ids, edges = lattices.sample([t.decode() for t in texts], mix(keys[first : first + len(texts)].copy()))
                 lists = pa.ListArray.from_arrays(pa.array(edges, pa.int32()), pa.array(ids))
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, len(texts)), lists], ["id", "ids"])

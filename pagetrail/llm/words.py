@@ -125,13 +125,13 @@ def find_words(texts: list[bytes], lower: bool = False, cut: bool = False) -> Wo
     return Words(data, offsets, starts, ends, hashes, np.searchsorted(starts, offsets))
 
 
-def groups(batch: pa.RecordBatch, column: str) -> Iterator[tuple[int, list[bytes]]]:
-    """Texts of a batch in groups of about GROUP bytes, each with its first row. Null: empty."""
+def groups(batch: pa.RecordBatch, column: str, most: int = GROUP) -> Iterator[tuple[int, list[bytes]]]:
+    """Texts of a batch in groups of about ``most`` bytes, each with its first row. Null: empty."""
     texts, size, first = [], 0, 0
     values = batch.column(batch.schema.get_field_index(column))
     for value in values.cast(pa.binary()) if len(values) else ():
         text = value.as_py() or b""
-        if texts and size + len(text) > GROUP:
+        if texts and size + len(text) > most:
             yield first, texts
             texts, size, first = [], 0, first + len(texts)
         texts.append(text)
@@ -140,6 +140,21 @@ def groups(batch: pa.RecordBatch, column: str) -> Iterator[tuple[int, list[bytes
         yield first, texts
 
 
+def larger(batches: Iterator[pa.RecordBatch], size: int = GROUP) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of about ``size`` bytes: small batches bound the memory for long texts, but
+    work on distinct words gains from many texts at once."""
+    waiting: list[pa.RecordBatch] = []
+    total = 0
+    for batch in batches:
+        waiting.append(batch)
+        total += batch.nbytes
+        if total >= size:
+            yield pa.concat_batches(waiting)
+            waiting, total = [], 0
+    if waiting:
+        yield pa.concat_batches(waiting)
+
+
 def shingle_sets(words: Words, size: int = 5) -> tuple[np.ndarray, np.ndarray]:
     """Distinct shingle hashes of each document, sorted, one document after the other, and where each
     begins. A document of fewer words has one shingle: all of them. One without words has none."""
