@@ -86,13 +86,18 @@ class Lattices:
         number of ids in ``pool``; and ``end``, the last node of each unit.
         """
         parts, base, pooled = [], 0, 0
+        order = np.argsort(np.array([len(u) for u in units]), kind="stable")  # like lengths together: narrow tables
+        by_length = [units[i] for i in order.tolist()]
         for a in range(0, len(units), UNITS_AT_A_TIME):
-            part = self._some_lattices(units[a : a + UNITS_AT_A_TIME])
+            part = self._some_lattices(by_length[a : a + UNITS_AT_A_TIME])
             up, origin, start, number, pool, end = part
             parts.append((up + base, np.where(origin < 0, -1, origin + base), start + pooled, number, pool, end + base))
             base += int(end[-1]) + 1
             pooled += len(pool)
-        return tuple(np.concatenate(column) for column in zip(*parts))
+        *arcs, ends = (np.concatenate(column) for column in zip(*parts))
+        end = np.empty_like(ends)
+        end[order] = ends
+        return *arcs, end
 
     def _some_lattices(self, units: list[str]) -> tuple[np.ndarray, ...]:
         length = np.array([len(u) for u in units])
