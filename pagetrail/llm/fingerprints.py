@@ -60,11 +60,13 @@ def in_ranges(docs: DataFrame, key: str, ranges: int) -> tuple[DataFrame, int]:
     to the range before as a copy (1), and the row of the smallest key to the last range as a copy (2), so that the next
     row of each row is in its own range.
     """
-    borders = docs.approxQuantile(key, [k / ranges for k in range(1, ranges)], 1 / (4 * ranges))
-    low = docs.agg(F.min(key)).first()[0]
-    splits = sorted({int(b) for b in borders} - {low})
+    # keys that occur, exactly; a table without rows has none
+    parts = F.percentile_approx(key, [k / ranges for k in range(1, ranges)], 4 * ranges)
+    found = docs.agg(F.min(key).alias("low"), parts.alias("borders")).first()
+    low = found["low"]
+    splits = sorted(set(found["borders"] or ()) - {low})
     if splits:
-        limits = ", ".join(f"{s}L" if s > -(2**63) else "" for s in splits)
+        limits = ", ".join(f"{s}L" for s in splits)
         own = F.expr(f"size(filter(array({limits}), s -> s <= {key}))")
     else:
         own = F.lit(0)
