@@ -39,6 +39,10 @@ def item_count(items: str) -> str:
 
 
 def item_total(items: str) -> str:
-    """Sum of price x quantity over the event's items, NULL when no item has a value."""
-    values = f"filter(transform({items}, i -> {safe_product('i.price', 'i.quantity')}), v -> v IS NOT NULL)"
+    """Sum of price x quantity over the event's items, NULL when no item has a value.
+
+    The two fields are read as arrays of their own, so that a scan leaves out the others.
+    """
+    products = f"zip_with({items}.price, {items}.quantity, (p, q) -> {safe_product('p', 'q')})"
+    values = f"filter({products}, v -> v IS NOT NULL)"
     return f"CASE WHEN size({values}) > 0 THEN aggregate({values}, 0D, (total, v) -> total + v) END"

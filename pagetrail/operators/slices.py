@@ -18,6 +18,9 @@ from pyspark.sql import functions as F
 from ..functions.fixed import GAP_MINUTES
 from ..functions.times import MICROS_PER_MINUTE, floor_to
 
+#: Slice of rows without a timestamp.
+NO_SLICE = -(2**62)
+
 
 def gap_micros(gap_minutes: int = GAP_MINUTES) -> int:
     """Smallest gap that opens a new session: ``gap_minutes`` whole minutes are exceeded."""
@@ -25,14 +28,22 @@ def gap_micros(gap_minutes: int = GAP_MINUTES) -> int:
 
 
 def slice_width(gap_minutes: int = GAP_MINUTES, slice_minutes: int | None = None) -> int:
-    """Width of a slice in microseconds: as asked for, but never wider than a session gap."""
+    """Width of a slice in microseconds, by default that of the smallest gap between sessions.
+
+    A wider slice could hold several sessions of a user, so it is an error.
+    """
     widest = gap_micros(gap_minutes)
-    return widest if slice_minutes is None else min(widest, slice_minutes * MICROS_PER_MINUTE)
+    if slice_minutes is None:
+        return widest
+    if not 1 <= slice_minutes <= gap_minutes + 1:
+        raise ValueError(f"slice_minutes has to be between 1 and {gap_minutes + 1}")
+    return slice_minutes * MICROS_PER_MINUTE
 
 
 def slice_start(ts: str, width: int) -> str:
-    """SQL: start of the slice that holds the instant."""
-    return floor_to(ts, width)
+    """SQL: start of the slice that holds the instant. Rows without an instant share a slice before
+    all others, so that a join on slices keeps them."""
+    return f"coalesce({floor_to(ts, width)}, {NO_SLICE})"
 
 
 def user_key(user: str) -> str:
@@ -102,14 +113,16 @@ def index_in_group(
     """1-based position of each row in its group, ordered by ``ts`` and the tie-breakers.
 
     A group of any size is numbered slice by slice: a position inside the slice plus the number of
-    rows in earlier slices. Group columns must not be NULL.
+    rows in earlier slices. NULL in a group column is a value like any other.
     """
-    whole, order = ", ".join(group), ", ".join([ts, *ties])
-    sliced = df.selectExpr("*", f"{slice_start(ts, width or gap_micros())} AS _slice")
-    sizes = sliced.groupBy(*group, "_slice").agg(F.count(F.lit(1)).alias("_size"))
-    offsets = sizes.selectExpr(*group, "_slice", f"{count_before('_size', whole, '_slice')} AS _before")
-    placed = sliced.selectExpr("*", f"row_number() OVER (PARTITION BY {whole}, _slice ORDER BY {order}) AS _local")
-    return placed.join(offsets, [*group, "_slice"]).selectExpr(*df.columns, f"_local + _before AS {name}")
+    order = ", ".join([ts, *ties])
+    sliced = df.selectExpr(
+        "*", f"struct({', '.join(group)}) AS _group", f"{slice_start(ts, width or gap_micros())} AS _slice"
+    )
+    sizes = sliced.groupBy("_group", "_slice").agg(F.count(F.lit(1)).alias("_size"))
+    offsets = sizes.selectExpr("_group", "_slice", f"{count_before('_size', '_group', '_slice')} AS _before")
+    placed = sliced.selectExpr("*", f"row_number() OVER (PARTITION BY _group, _slice ORDER BY {order}) AS _local")
+    return placed.join(offsets, ["_group", "_slice"]).selectExpr(*df.columns, f"_local + _before AS {name}")
 
 
 def follow(
@@ -148,6 +161,12 @@ def transitions(
     name: str = "next_value",
     width: int = 100_000,
 ) -> DataFrame:
-    """Add the value of the group's next row. ``order`` is a unique integer position per group."""
-    chunk = df.selectExpr("*", f"{floor_to(order, width)} AS _chunk")
-    return follow(chunk, [*group, "_chunk"], group, "_chunk", order, value, name).drop("_chunk")
+    """Add the value of the group's next row. ``order`` is a unique integer position per group.
+
+    NULL in a group column is a value like any other.
+    """
+    chunk = df.selectExpr(
+        "*", f"struct({', '.join(group)}) AS _group", f"{floor_to(order, width)} AS _chunk"
+    )
+    followed = follow(chunk, ["_group", "_chunk"], ["_group"], "_chunk", order, value, name)
+    return followed.drop("_group", "_chunk")

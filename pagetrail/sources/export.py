@@ -27,15 +27,16 @@ def read_export(
     return events.select(*EVENTS.names)
 
 
-def write_export(events: DataFrame, path: str) -> None:
-    """Store an export in day folders.
+def write_export(events: DataFrame, path: str, tasks_per_day: int = 64) -> None:
+    """Store an export in day folders. Days that ``events`` does not have stay as they are.
 
-    Each day is written by several tasks, chosen by user, so that a big day is not one task.
+    Each day is written by ``tasks_per_day`` tasks, so that a big day is not one task: choose it so that
+    a task writes a few hundred MB.
     """
-    spread = F.pmod(F.hash("user_pseudo_id", "event_timestamp"), F.lit(64))
-    events.repartition("event_date", spread).write.mode("overwrite").partitionBy(
-        "event_date"
-    ).parquet(path)
+    spread = F.pmod(F.hash("user_pseudo_id", "event_timestamp"), F.lit(tasks_per_day))
+    events.repartition("event_date", spread).write.mode("overwrite").option(
+        "partitionOverwriteMode", "dynamic"
+    ).partitionBy("event_date").parquet(path)
 
 
 def save_table(df: DataFrame, path: str) -> DataFrame:

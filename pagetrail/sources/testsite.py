@@ -35,12 +35,6 @@ def _rows(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.schema(TABLES[table]).parquet(f"{sf_dir}/{table}.parquet")
 
 
-def _spread(events: DataFrame) -> DataFrame:
-    """A few files that one task each would read, spread over the cores; many files as they are."""
-    cores = events.sparkSession.sparkContext.defaultParallelism
-    return events.repartition(cores, "event_id") if len(events.inputFiles()) < cores else events
-
-
 def _size(table: DataFrame) -> Column:
     return table.agg(F.count(F.lit(1))).scalar()
 
@@ -122,9 +116,10 @@ def _with_params(base: DataFrame, pages: DataFrame) -> DataFrame:
         pages.selectExpr("page_id AS referrer_no", "url AS referrer_url"), "referrer_no", "left"
     )
     filled = f"filter(array({', '.join(_PARAMS)}), p -> p IS NOT NULL)"
-    params = f"CASE WHEN k <> 97 THEN slice({filled}, 1, CASE WHEN k = 98 THEN 0 ELSE 99 END) END"
     array_type = EVENTS["event_params"].dataType.simpleString()
-    return joined.selectExpr(*base.columns, f"cast({params} AS {array_type}) AS event_params")
+    given = f"CASE WHEN k <> 97 THEN cast({filled} AS {array_type}) END"
+    params = f"CASE WHEN k = 98 THEN cast(array() AS {array_type}) ELSE {given} END"
+    return joined.selectExpr(*base.columns, f"{params} AS event_params")
 
 
 def _with_items(base: DataFrame, part: DataFrame) -> DataFrame:
@@ -165,7 +160,7 @@ def testsite_export(
     spark: SparkSession, sf_dir: str, params: bool = True, items: bool = True
 ) -> DataFrame:
     """The test tables as an export; nested columns that are not asked for stay NULL."""
-    export = _base(_spread(_rows(spark, sf_dir, "events")))
+    export = _base(_rows(spark, sf_dir, "events"))
     if params:
         export = _with_params(export, _rows(spark, sf_dir, "pages"))
     if items:
