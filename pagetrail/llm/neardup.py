@@ -180,6 +180,12 @@ def _close_sizes(a: str, b: str) -> str:
     return f"100 * least({a}, {b}) >= {SIMILAR} * greatest({a}, {b})"
 
 
+def _in_two_components(pairs: DataFrame, labels: DataFrame) -> DataFrame:
+    """The pairs (a, b) that ``labels`` (node, component) does not put into one component."""
+    found = pairs.join(labels.toDF("a", "component_a"), "a", "left").join(labels.toDF("b", "component_b"), "b", "left")
+    return found.where("coalesce(component_a, a) <> coalesce(component_b, b)").select("a", "b")
+
+
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) of every row of ``docs``, which has ``doc_id`` and ``text``.
 
@@ -191,7 +197,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
        the shuffle, so a class may hold any part of all rows.
     2. Multi-index: each class gives 40 keys, one for each chunk of its signature and symbol left out.
     3. In each bucket of a key, every class is compared with the smallest one, on full sets: a star instead of
-       all pairs. Components of these links follow.
+       all pairs. A class in many buckets is first compared with the smallest of their smallest ones, then
+       with those that this has not brought into its component. Components of these links follow.
     4. What a star can miss: classes in buckets that still hold several components go through an exact
        join for pairs of different components (``pairs_across``). With it, every similar pair that shares
        a key is linked or already connected.
@@ -220,8 +227,13 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     texts = stored(given.join(involved, "doc", "left_semi").distinct(), "texts")
 
     stars = members.where("doc <> hub and " + _close_sizes("n", "hub_n"))
-    stars = stars.select(F.col("hub").alias("a"), F.col("doc").alias("b")).distinct()
-    links = stored(similar(stars, texts), "links")
+    stars = stored(stars.select(F.col("hub").alias("a"), F.col("doc").alias("b")).distinct(), "stars")
+    smallest = stars.groupBy("b").agg(F.min("a").alias("a")).select("a", "b")
+    links = stored(similar(smallest, texts), "links")
+    labels = stored(components(links), "labels")
+    others = stars.join(smallest, ["a", "b"], "left_anti")
+    others = stored(_in_two_components(others, labels), "others")
+    links = stored(links.unionByName(similar(others, texts)), "links")
     labels = stored(components(links), "labels")
 
     rest = members.where("size > 2").join(labels.toDF("doc", "component"), "doc", "left")
