@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import logging
+import math
 import zlib
 from collections.abc import Iterator
 from typing import NamedTuple
@@ -16,11 +18,15 @@ from .storage import prepare, stored
 from .tokens import word_tokenizer
 from .words import groups, larger
 
+logger = logging.getLogger(__name__)
+
 CAPACITY = 2048
-#: Rounds of multiplicative weights, each with one knapsack.
+#: Rounds of multiplicative weights, each with one knapsack. There are more while a length is not covered.
 ROUNDS = 300
-#: Parts of the fractional solution that are tried for rounding; best fit has the rest.
-SHARES = (1.0, 0.9, 0.7, 0.5)
+#: Relative distance from the best that is good enough.
+SLACK = 0.005
+#: Parts of the fractional solution that are tried for rounding; best fit has the rest, with 0 everything.
+SHARES = (1.0, 0.9, 0.7, 0.5, 0.0)
 #: Parts into which the pieces of one length are cut for ranking.
 PARTS = 256
 
@@ -32,68 +38,89 @@ class Use(NamedTuple):
     count: int
 
 
-def _knapsack(value: np.ndarray, capacity: int) -> dict[int, int]:
-    """The most valuable lengths, with repetition, of at most ``capacity`` in sum: value[l] for length l."""
+def _knapsack(value: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:
+    """For each room up to ``capacity``: the highest value of lengths, with repetition, of at most that sum, and the
+    longest length that it can begin with (0: as for a room less). value[l] is for length l."""
     best = np.zeros(capacity + 1)
     pick = np.zeros(capacity + 1, np.int64)
+    turned = value[capacity:0:-1].copy()
     for room in range(1, capacity + 1):
-        # value[l] + best[room - l] for l = 1 ... room
-        gains = value[1 : room + 1] + best[room - 1 :: -1][:room]
+        # value[l] + best[room - l] for l = room ... 1
+        gains = turned[capacity - room :] + best[:room]
         k = int(gains.argmax())
         if gains[k] > best[room - 1]:
-            best[room], pick[room] = gains[k], k + 1
+            best[room], pick[room] = gains[k], room - k
         else:
             best[room] = best[room - 1]
-    items: dict[int, int] = {}
-    room = capacity
-    while room > 0:
-        if pick[room]:
-            items[int(pick[room])] = items.get(int(pick[room]), 0) + 1
-            room -= int(pick[room])
-        else:
-            room -= 1
-    return items
+    return best, pick
 
 
-def configurations(counts: np.ndarray, capacity: int = CAPACITY, rounds: int = ROUNDS) -> dict[tuple, float]:
-    """A fractional solution: how often to use each configuration, so that no length is used up.
+def configurations(counts: np.ndarray, capacity: int = CAPACITY, rounds: int = ROUNDS) -> tuple[dict[tuple, float], float]:
+    """A fractional solution, which covers every length: how often to use each configuration; and the program's lower bound.
 
     Multiplicative weights for the covering program min sum(x), sum(x_c copies_cl) >= counts_l: the price of a length falls
-    exponentially as it is covered; each round adds the configuration of the highest price per sequence.
+    exponentially as it is covered. A round has one knapsack and adds, for each length, the configuration of the highest
+    price that holds it, if no other has a price higher by more than SLACK; it deals out a small part of each demand.
+    Rounds end when the solution is within SLACK of the bound, or after ``rounds``, but not before every length is covered.
     """
-    length = np.arange(len(counts))
     active = counts > 0
     if not active.any():
-        return {}
+        return {}, 0.0
+    length = np.arange(len(counts))
+    lengths = np.flatnonzero(active)
     demand = np.where(active, counts, 1).astype(float)
     covered = np.zeros(len(counts))  # as parts of the demand
-    eta = np.log(max(2, active.sum()))
+    eta = np.log(max(2, len(lengths)))
+    step = max(0.02, 4.0 / rounds)
     solution: dict[tuple, float] = {}
-    for _ in range(rounds):
-        price = np.where(active, np.exp(-eta * (covered - covered[active].min())) * length, -1.0)
-        items = _knapsack(price, capacity)
-        key = tuple(sorted(items.items(), reverse=True))
-        # so often that the scarcest of its lengths gains a share of its demand
-        step = min(demand[l] / n for l, n in key) * max(0.02, 4.0 / rounds)
-        solution[key] = solution.get(key, 0.0) + step
-        for l, n in key:
-            covered[l] += step * n / demand[l]
-    over = max(sum(x * dict(c).get(l, 0) for c, x in solution.items()) / demand[l] for l in np.flatnonzero(active))
-    return {c: x / over for c, x in solution.items()}
+    total, bound, done = 0.0, 0.0, 0
+    while True:
+        least = covered[lengths].min()
+        if least > 0 and (done >= rounds or total / least <= (1 + SLACK) * bound):
+            return {c: x / least for c, x in solution.items()}, bound
+        done += 1
+        price = np.where(active, np.exp(-eta * (covered - least)) * length, -1.0)
+        best, pick = _knapsack(price, capacity)
+        # by the program's dual: no sequence is worth more than best[capacity]
+        bound = max(bound, float((price * counts)[lengths].sum() / best[capacity]))
+        worth = price[lengths] + best[capacity - lengths]
+        near = lengths[worth * (1 + SLACK) >= best[capacity]]
+        left = (step * demand).tolist()
+        for first in near[np.argsort(covered[near], kind="stable")].tolist():
+            if left[first] <= 0:
+                continue
+            items, room = {first: 1}, capacity - first
+            while room > 0:
+                l = int(pick[room])
+                if l:
+                    items[l] = items.get(l, 0) + 1
+                room -= l or 1
+            x = min(left[l] / n for l, n in items.items())
+            if x <= 0:
+                continue
+            key = tuple(sorted(items.items(), reverse=True))
+            solution[key] = solution.get(key, 0.0) + x
+            total += x
+            for l, n in key:
+                left[l] -= x * n
+                covered[l] += x * n / demand[l]
 
 
 def plan(counts: np.ndarray, capacity: int = CAPACITY, rounds: int = ROUNDS) -> list[Use]:
     """Pack counts[l] pieces of each length l. Works on the histogram only, whatever the number of pieces.
 
     The fractional solution is rounded down, the rest goes by best fit, longest first. Of several
-    roundings, each after shrinking the solution by a factor of SHARES, the best is taken.
+    roundings, each after shrinking the solution by a factor of SHARES, the best is taken: never one worse than
+    best fit alone. The number of sequences and the program's lower bound are logged.
     """
     small = counts.astype(np.int64).copy()
     whole = int(small[capacity])
     small[capacity] = 0
-    solution = configurations(small, capacity, rounds)
+    solution, bound = configurations(small, capacity, rounds)
     plans = [_rounded(small, solution, share, capacity) for share in SHARES]
     best = min(plans, key=lambda uses: sum(u.count for u in uses))
+    sequences = whole + sum(u.count for u in best)
+    logger.info("%d sequences, at least %d are needed", sequences, whole + math.ceil(bound - 1e-6))
     return ([Use(((capacity, 1),), whole)] if whole else []) + best
 
 

@@ -71,6 +71,22 @@ def test_plan_uses_all_pieces():
     assert used.tolist() == counts.tolist()
 
 
+def test_plan_prices_every_length():
+    random, counts = np.random.default_rng(0), np.zeros(2049, np.int64)
+    for _ in range(400):  # three pieces that fill a sequence, 200 times
+        a = int(random.integers(720, 1000))
+        b = int(random.integers(500, 1598 - a))
+        counts[[a]] += 200
+        counts[[b]] += 200
+        counts[[2048 - a - b]] += 200
+    solution, bound = packing.configurations(counts)
+    assert {l for items in solution for l, _ in items} == set(np.flatnonzero(counts).tolist())
+    assert 79_000 < bound <= 80_000.001  # 80,000 full sequences hold everything
+    assert sum(u.count for u in packing.plan(counts)) <= 1.005 * 80_000
+    best_fit = sum(u.count for u in packing._rounded(counts, {}, 0.0, 2048))
+    assert sum(u.count for u in packing.plan(counts, rounds=1)) <= best_fit
+
+
 def test_sketches_of_edited_texts(spark, docs):
     found = QUERIES["op3_scaled_sketch"](spark, SF_DIR).toPandas().sort_values("doc_id", ignore_index=True)
     following = docs.text.tolist()[1:] + docs.text.tolist()[:1]
