@@ -38,6 +38,9 @@ CLOSES: dict[str, tuple[frozenset, frozenset]] = {
     t: (frozenset(["thead", "tbody", "tfoot", "tr", "td", "th", "caption", "colgroup"]), frozenset(["table"]))
     for t in ("thead", "tbody", "tfoot", "caption", "colgroup")
 }
+#: Elements below which only parts of tables stand; all else that is found there stands before the table.
+TABLE_PARTS = frozenset("table thead tbody tfoot tr colgroup".split())
+CELLS = frozenset(["td", "th", "caption"])
 _ENDS_P = BLOCK - {"body", "html", "option", "caption", "select"}
 _P_SCOPE = frozenset(["table", "td", "th", "caption", "button", "object", "body", "html"])
 
@@ -83,7 +86,9 @@ def parse(page: str) -> Node:
     at = 0
 
     def text(piece: str) -> None:
-        if piece:
+        if piece.strip():
+            _insert(stack, piece)
+        elif piece:
             stack[-1].children.append(piece)
 
     while at < len(page):
@@ -101,7 +106,7 @@ def parse(page: str) -> Node:
         tag = tag.lower()
         if end:
             if tag == "p" and not _in_scope(stack, frozenset(["p"]), _P_SCOPE):
-                stack[-1].children.append(Node("p"))  # an end without a beginning is an empty paragraph
+                _insert(stack, Node("p"))  # an end without a beginning is an empty paragraph
             else:
                 scope = frozenset(["table"]) if tag not in ("table", "body", "html") else frozenset()
                 if _in_scope(stack, frozenset([tag]), scope) and tag != "html":
@@ -117,12 +122,26 @@ def parse(page: str) -> Node:
             _close(stack, frozenset(["p"]), _P_SCOPE)
         if tag in CLOSES:
             _close(stack, *CLOSES[tag])
+        if tag in TABLE_PARTS | CELLS | {"col"}:
+            place = _table_place(stack)
+            if place is not None:
+                del stack[place + 1 :]  # ends what stands before the table
+                if tag == "table":  # not in a cell: ends the table
+                    while stack.pop().tag != "table":
+                        pass
+                elif stack[-1].tag == "colgroup" and tag != "col":
+                    stack.pop()
         if tag in ("td", "th") and stack[-1].tag in ("table", "tbody", "thead", "tfoot"):
             _open(stack, Node("tr"))
         if stack[-1].tag == "head" and tag in BLOCK | {"a", "b", "i", "span", "br", "img"}:
             stack.pop()
         node = Node(tag, attributes)
-        stack[-1].children.append(node)
+        if tag in TABLE_PARTS | CELLS | {"col"}:
+            stack[-1].children.append(node)
+        else:
+            _insert(stack, node)
+            if tag == "form" and _table_of(stack, len(stack) - 1):  # empty: rows that follow are the table's
+                continue
         if tag in RAW:
             close = _RAW_END[tag].search(page, at)
             stop = close.start() if close else len(page)
@@ -140,6 +159,35 @@ def _open(stack: list[Node], node: Node) -> None:
     stack.append(node)
 
 
+def _table_of(stack: list[Node], place: int) -> int:
+    """Place of the table that the node at ``place`` is or is a part of, without a cell in between; 0 if there is none."""
+    while stack[place].tag in TABLE_PARTS:
+        if stack[place].tag == "table":
+            return place
+        place -= 1
+    return 0
+
+
+def _table_place(stack: list[Node]) -> int | None:
+    """Place of the innermost part of a table, if no cell is open in it."""
+    for place in range(len(stack) - 1, 0, -1):
+        if stack[place].tag in CELLS:
+            return None
+        if stack[place].tag in TABLE_PARTS:
+            return place if _table_of(stack, place) else None
+    return None
+
+
+def _insert(stack: list[Node], child: Node | str) -> None:
+    """Below the last open node; before the table if that is one or a part of one other than a cell."""
+    table = _table_of(stack, len(stack) - 1)
+    if table:
+        above = stack[table - 1].children
+        above.insert(len(above) - 1, child)  # an open table is the last child
+    else:
+        stack[-1].children.append(child)
+
+
 def _in_scope(stack: list[Node], tags: frozenset, scope: frozenset) -> bool:
     for node in reversed(stack):
         if node.tag in tags:
@@ -281,9 +329,6 @@ def render(root: Node) -> str:
                 continue
             stack.pop()
             _write_table(page, [d for d in done if d])
-            loose = [c for c in node.children if isinstance(c, str) and c.strip()]
-            for piece in loose:  # text that stands between rows is not lost
-                page.write(piece, False)
             leave(node)
             continue
         if place >= len(node.children):

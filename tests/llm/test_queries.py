@@ -142,6 +142,25 @@ def test_page_text():
         html.page_text(odd)
 
 
+@pytest.mark.parametrize(
+    "page, expected",
+    [
+        ("a<table><form><tr><td>x<td>y</tr></form></table>b", "a\n\nx  y\n\nb"),
+        ("<table><tr><form><td>x</td><td>y</td></form></tr></table>", "x  y"),
+        ("<table><div>text</div><tr><td>1</table>", "text\n\n1"),
+        ("<table><tr><b>text</b><td>c</table>", "text\n\nc"),
+        ("<table><tr><b>open<td>c<td>d</table>", "open\n\nc  d"),
+        ("<table><tr>bare<td>c</tr><tbody>more<tr><td>d</table>", "baremore\n\nc\nd"),
+        ("<table><colgroup><col>x<td>c</table>", "x\n\nc"),
+        ("<table><tr><td>a<table>in<tr><td>b</table></table>", "ain b"),
+        ("<table><tr><table><tr><td>b</table>c", "b\n\nc"),
+        ("<tr>no table<td>cell", "no tablecell"),
+    ],
+)
+def test_page_text_keeps_what_strays_in_tables(page, expected):
+    assert html.page_text(page) == expected
+
+
 def test_page_query_keeps_every_page(spark):
     found = QUERIES["op5_html_text"](spark, SF_DIR).toPandas()
     assert len(found) == pq.read_table(f"{SF_DIR}/pages.parquet").num_rows
