@@ -16,7 +16,19 @@ from .words import groups
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: Elements whose content is text up to their end tag.
 RAW = frozenset("script style textarea title xmp iframe noembed noframes".split())
-HIDDEN = frozenset("head script style template noscript iframe object audio video canvas svg math datalist noembed noframes title".split())
+HIDDEN = frozenset("head script style template noscript iframe object audio video canvas datalist noembed noframes title".split())
+#: What an image or a formula hides.
+DRAWING = {
+    "svg": frozenset("defs desc metadata symbol clippath mask pattern marker lineargradient radialgradient filter".split()),
+    "math": frozenset(["annotation", "annotation-xml"]),
+}
+_UNSEEN = frozenset().union(*DRAWING.values())
+#: Elements that stand apart from what is beside them.
+APART = frozenset(["text", "mtr", "mtd"])
+#: Kinds of inputs that show their value.
+BUTTONS = frozenset(["submit", "button", "reset"])
+#: All that may stand in a head; other elements and text end it.
+IN_HEAD = frozenset("base basefont bgsound link meta title noscript noframes style script template".split())
 BLOCK = frozenset(
     "address article aside blockquote body center dd details dialog div dl dt fieldset figcaption figure footer form "
     "h1 h2 h3 h4 h5 h6 header hgroup hr html li main menu nav ol option p pre section select summary table ul caption".split()
@@ -45,7 +57,10 @@ _ENDS_P = BLOCK - {"body", "html", "option", "caption", "select"}
 _P_SCOPE = frozenset(["table", "td", "th", "caption", "button", "object", "body", "html"])
 
 _MARKUP = re.compile(
-    r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z))*)>?", re.S
+    r"<!--(?:-?>|.*?(?:--!?>|\Z))|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>?|"
+    # a quote opens a value only after '='
+    r"<(/?)([a-zA-Z][^\s/>]*)((?:[^>=]+|=\s*(?:\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z)|[^\s>]*))*)>?",
+    re.S,
 )
 _ATTRIBUTE = re.compile(r"([^\s=/>\"']+)(?:\s*=\s*(\"[^\"]*\"?|'[^']*'?|[^\s>]+))?")
 _SPACES = re.compile(r"[ \t\n\r\f]+")
@@ -74,7 +89,7 @@ class Node:
             return True
         if not self.attributes:
             return False
-        if self.tag == "input" or self.attribute("hidden") is not None:
+        if self.tag == "input" and (self.attribute("type") or "").strip().lower() not in BUTTONS or self.attribute("hidden") is not None:
             return True
         return bool(_INVISIBLE.search(self.attribute("style") or ""))
 
@@ -87,6 +102,8 @@ def parse(page: str) -> Node:
 
     def text(piece: str) -> None:
         if piece.strip():
+            if stack[-1].tag == "head":
+                stack.pop()
             _insert(stack, piece)
         elif piece:
             stack[-1].children.append(piece)
@@ -116,6 +133,8 @@ def parse(page: str) -> Node:
             continue
         if tag == "html" or tag == "body" and any(n.tag == "body" for n in stack):
             continue
+        if tag == "head" and any(isinstance(c, Node) or c.strip() for c in root.children):
+            continue  # not at the beginning
         if tag == "body":  # ends the head
             del stack[1:]
         if tag in _ENDS_P and _in_scope(stack, frozenset(["p"]), _P_SCOPE):
@@ -133,7 +152,7 @@ def parse(page: str) -> Node:
                     stack.pop()
         if tag in ("td", "th") and stack[-1].tag in ("table", "tbody", "thead", "tfoot"):
             _open(stack, Node("tr"))
-        if stack[-1].tag == "head" and tag in BLOCK | {"a", "b", "i", "span", "br", "img"}:
+        if stack[-1].tag == "head" and tag not in IN_HEAD:
             stack.pop()
         node = Node(tag, attributes)
         if tag in TABLE_PARTS | CELLS | {"col"}:
@@ -280,6 +299,10 @@ def render(root: Node) -> str:
         if node.tag == "br":
             page.end(True)
             return
+        if node.tag == "input":
+            page.write(f" {node.attribute('value') or ''} ", False)
+            return
+        page.space |= node.tag in APART
         if node.tag in BLOCK:
             page.end()
             page.gap |= node.tag in SPACED and not (node.tag in LISTS and any(f[0].tag == "li" for f in stack))
@@ -301,7 +324,11 @@ def render(root: Node) -> str:
         start = node.attribute("start") if node.tag == "ol" else None
         stack.append([node, 0, pre or node.tag in ("pre", "textarea"), int(start) if start and start.isdigit() else 1, None])
 
+    def unseen(node: Node) -> bool:
+        return node.tag in _UNSEEN and any(node.tag in DRAWING.get(f[0].tag, ()) for f in stack)
+
     def leave(node: Node) -> None:
+        page.space |= node.tag in APART
         if node.tag in BLOCK:
             page.end()
             page.gap |= node.tag in SPACED and not (node.tag in LISTS and any(f[0].tag == "li" for f in stack))
@@ -345,7 +372,7 @@ def render(root: Node) -> str:
         child = node.children[place]
         if isinstance(child, str):
             page.write(child, pre)
-        elif not child.hidden():
+        elif not child.hidden() and not unseen(child):
             enter(child, pre)
     page.end()
     return "\n".join(page.lines).strip("\n")

@@ -161,6 +161,24 @@ def test_page_text_keeps_what_strays_in_tables(page, expected):
     assert html.page_text(page) == expected
 
 
+@pytest.mark.parametrize(
+    "page, expected",
+    [
+        ("<p class=x'>one don't</p>two", "one don't\n\ntwo"),
+        ("<p class=x\">one</p><a href = 'a>b' title=\"c>d\">two</a>", "one\n\ntwo"),
+        ("a<!-->b<!-- x -->c<!--->d<!-- y --!>e", "abcde"),
+        ("<head><title>t</title>hello <em>w</em></head><p>x", "hello w\n\nx"),
+        ("<head><meta charset=utf-8><em>w</em><p>x", "w\n\nx"),
+        ("<body>a<head>b</head>c", "abc"),
+        ("<math><mi>x</mi><mo>=</mo><mn>1</mn><annotation>no</annotation></math>", "x=1"),
+        ("<svg><title>no</title><defs><text>no</text></defs><g><text>one</text><text>two</text></g></svg>", "one two"),
+        ("<desc>seen</desc><input type=Submit value='Go &amp; on'><input value=no>", "seen Go & on"),
+    ],
+)
+def test_page_text_of_malformed_and_unusual_pages(page, expected):
+    assert html.page_text(page) == expected
+
+
 def test_page_query_keeps_every_page(spark):
     found = QUERIES["op5_html_text"](spark, SF_DIR).toPandas()
     assert len(found) == pq.read_table(f"{SF_DIR}/pages.parquet").num_rows
