@@ -23,9 +23,11 @@ SHARPNESS = 2.0
 LAST = 0.999999
 SPACE = "▁"  # how the vocabulary writes a space
 
-#: Texts fall into units that no piece crosses: a line end, spaces, a run of letters or of ASCII punctuation with
-#: the spaces before it. Checked against the vocabulary when it is loaded.
-_UNIT = re.compile(r"\n| *[^\x00-@\[-`{-\x7f]+| *[!-/:-@\[-`{-~]+| *[^ \n]| +")
+#: Punctuation, carriage returns with it, as the inside of a character class.
+_MARKS = r"\r!-/:-@\[-`{-~\xa1-\xa9\xab-\xb4\xb6-\xb9\xbb-\xbf\u2010-\u2027\u2030-\u205e"
+#: Texts fall into units that no piece crosses: a line end, spaces, a run of letters or of punctuation with the spaces
+#: before it. A vocabulary with a piece that crosses units is refused when it is loaded.
+_UNIT = re.compile(rf"\n| *[^\x00-\x1f 0-9\x7f{_MARKS}]+| *[{_MARKS}]+| *[^ \n]| +")
 
 
 class Lattices:
@@ -43,8 +45,9 @@ class Lattices:
         self.piece: dict[str, tuple[int, float]] = {}
         for i in ordinary:
             text = pieces[i].replace(SPACE, " ")
-            if len(_UNIT.findall(text)) == 1:  # others would cross units
-                self.piece[text] = (i, weight[i])
+            if len(_UNIT.findall(text)) != 1:
+                raise ValueError(f"the piece {text!r} crosses units: it could never be drawn")
+            self.piece[text] = (i, weight[i])
         self.longest = max(map(len, self.piece))
         self.byte = {int(pieces[i][3:5], 16): i for i in range(n) if model.is_byte(i)}
         if len(self.byte) < 256:

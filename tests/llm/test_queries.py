@@ -131,6 +131,18 @@ def test_piece_lattice_against_all_segmentations():
         assert abs(drawn.count(s) / 8000 - p / sum(exact.values())) < 0.03
 
 
+def test_every_piece_can_be_drawn(monkeypatch):
+    lattices = pieces.Lattices(PIECE_MODEL)
+    across = [".”", " ».", "”,", " (“", "².", " […]", ");\r", " }\r", "\r\r"]  # punctuation of both kinds, line ends
+    for text in across:
+        ids, edges = lattices.sample([text.removeprefix(" ") if text[0] == " " else f"x{text}"] * 2000, np.arange(2000, dtype=np.uint64))
+        assert lattices.piece[text][0] in ids.tolist()
+        assert all(lattices.decode(ids[a:b]).decode().endswith(text.lstrip(" ")) for a, b in itertools.pairwise(edges))
+    monkeypatch.setattr(pieces, "_UNIT", pieces.re.compile(r"\n| *[^\W]+| *[^\w \n”]+| *[^ \n]| +"))
+    with pytest.raises(ValueError, match="crosses units"):
+        pieces.Lattices(PIECE_MODEL)
+
+
 def test_page_text():
     page = (
         "<title>t</title><p>one<p>two <b>bo</b>ld &amp; x<ul><li>a<li>b<ol><li>x<li>y</ol></ul>"
