@@ -71,7 +71,8 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     """Learn from ``docs`` (doc_id, text) and ``labels`` (doc_id, quality) whose crc32(doc_id as text) mod 5
     is not 0, from at most ``sample`` rows of each class.
 
-    Ids are chosen first; only the chosen texts come to the driver. The calibration weighs classes as they
+    Ids are chosen first; only one text of each chosen id comes to the driver, if its rows differ that with the smallest
+    hash. The calibration weighs classes as they
     occur among all labels. With labels of one class only, every text gets the share of that class.
     """
     prepare(docs.sparkSession)
@@ -82,10 +83,13 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     order = F.xxhash64("id")
     chosen = [known.where(F.col("label") == k).orderBy(order, "id").limit(sample) for k in (0, 1)]
     chosen = F.broadcast(chosen[0].unionByName(chosen[1]))  # 2 * sample rows at most
-    rows = docs.select(F.col("doc_id").alias("id"), "text").join(chosen, "id").select("id", "label", "text").collect()
+    text = F.coalesce("text", F.lit(""))
+    texts = docs.select(F.col("doc_id").alias("id"), text.alias("text")).join(chosen, "id")
+    one = F.min(F.struct(F.xxhash64("text"), "text"))["text"].alias("text")  # combined before the shuffle
+    rows = texts.groupBy("id", "label").agg(one).collect()
     by_class: dict[int, list[bytes]] = {0: [], 1: []}
-    for r in sorted(rows, key=lambda r: (r["id"], r["text"] or "")):
-        by_class[r["label"]].append((r["text"] or "").encode())
+    for r in sorted(rows, key=lambda r: (r["id"], r["text"])):
+        by_class[r["label"]].append(r["text"].encode())
     pairs = [(texts[::2], texts[1::2]) for texts in (by_class[0], by_class[1])]
     model = Model(_dictionary(pairs[1][0]), _dictionary(pairs[0][0]), ())
     rest = [pairs[k][1] for k in (0, 1)]

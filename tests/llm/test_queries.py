@@ -48,6 +48,20 @@ def test_classifier_on_held_out_labels(spark):
     assert scored.score.between(0, 1).all()
 
 
+def test_classifier_learns_one_text_of_an_id(spark, monkeypatch):
+    texts = [(i, f"{'fine words' if i % 2 else 'x # x'} number {i} " * 5) for i in range(40)]
+    repeated = texts + [(1, f"copy {k} of the first text") for k in range(300)] + [(2, None)] * 300
+    labels = spark.createDataFrame([(i, i % 2, 0) for i in range(40)], "doc_id long, quality int, toxic int")
+    docs = [spark.createDataFrame(rows, "doc_id long, text string") for rows in (repeated, repeated[::-1])]
+    learned: list[int] = []
+    calibrate, dictionary = quality._calibrate, quality._dictionary
+    monkeypatch.setattr(quality, "_calibrate", lambda x, *more: (learned.append(len(x)), calibrate(x, *more))[1])
+    monkeypatch.setattr(quality, "_dictionary", lambda t: (learned.append(len(t)), dictionary(t))[1])
+    one, two = (quality.train(d, labels, 10) for d in docs)
+    assert learned == [5, 5, 10] * 2  # ten texts of each class, half for dictionaries
+    assert one == two
+
+
 def test_packing_holds_every_id_once(spark, docs):
     packed = QUERIES["op2_best_fit_packing"](spark, SF_DIR).toPandas().sort_values(["sequence_id", "offset"])
     per = packed.groupby("sequence_id").length
