@@ -4,12 +4,16 @@ from __future__ import annotations
 
 import hashlib
 import itertools
+import re
+import zlib
 
+import duckdb
 import numpy as np
 import pandas as pd
 import public_tokenizers
 import pyarrow.parquet as pq
 import pytest
+import xxhash
 from conftest import SF_DIR
 from tokenizers import Tokenizer
 
@@ -112,6 +116,41 @@ def test_sketches_of_edited_texts(spark, docs):
     assert found.near_edited.between(0, 1).all()
 
 
+def sketch_of(text: str) -> list[int]:
+    """The sorted retained shingle hashes, signed as Spark has them."""
+    words = [w for w in re.split(r"[\x20\x09-\x0D]+", text) if w]
+    if not words:
+        return []
+    hashes = set()
+    for i in range(max(len(words) - 4, 1)):
+        h = 42
+        for word in words[i : i + 5]:
+            h = xxhash.xxh64_intdigest(word.encode(), h)
+        hashes.add(h)
+    signed = [h - 2**64 if h >= 2**63 else h for h in hashes]
+    return sorted(h for h in hashes if h < 2**62) or [min(signed)]
+
+
+def test_sketches_against_brute_force(spark, docs):
+    found = QUERIES["op3_scaled_sketch"](spark, SF_DIR).toPandas().sort_values("doc_id", ignore_index=True)
+    following = docs.text.tolist()[1:] + docs.text.tolist()[:1]
+    edited = [a[: len(a) - len(a) // 2] + b[: len(a) // 2] for a, b in zip(docs.text, following)]
+    own, changed = [sketch_of(t) for t in docs.text], [sketch_of(t) for t in edited]
+
+    def digits(sketch):
+        return "".join(f"{h % 2**64:016X}" for h in sketch)
+
+    def contained(a, b):
+        least = min(len(a), len(b))
+        return len({*a} & {*b}) / least if least else float(not a and not b)
+
+    assert found.doc_id.tolist() == docs.doc_id.tolist()
+    assert found.fingerprint.tolist() == [digits(x) for x in own]
+    assert found.edited_fingerprint.tolist() == [digits(x) for x in changed]
+    assert found.near_edited.tolist() == pytest.approx([contained(a, b) for a, b in zip(own, changed)])
+    assert found.near_next.tolist() == pytest.approx([contained(a, b) for a, b in zip(own, own[1:] + own[:1])])
+
+
 def test_sampled_pieces_are_lossless_and_repeatable(spark, docs):
     given = spark.createDataFrame(
         [(1, "a▁b  \n\n é日本\x00 x"), (2, ""), (3, None), (None, "the"), (1, "a▁b  \n\n é日本\x00 x"), (5, "y" * 5000)],
@@ -278,3 +317,58 @@ def test_pipeline_columns_and_stages(spark):
         assert stage(spark, docs, SF_DIR).columns == docs.columns
     packed = corpus_pipeline.run(spark, SF_DIR).toPandas()
     assert (packed.groupby("sequence_id").length.sum() <= 2048).all()
+
+
+def without_repeats(docs: pd.DataFrame) -> list[str]:
+    """Texts without the words of 50-word windows that a document with a smaller id has, too."""
+    words = [re.findall(r"[^ \t\n\x0B\f\r]+", t) for t in docs.text]
+    windows = [[tuple(w[i : i + 50]) for i in range(len(w) - 49)] for w in words]
+    first: dict[tuple, int] = {}
+    for doc, own in zip(docs.doc_id, windows):
+        for w in own:
+            first[w] = min(first.get(w, doc), doc)
+    texts = []
+    for doc, text, w, own in zip(docs.doc_id, docs.text, words, windows):
+        gone = {i + k for i, x in enumerate(own) if first[x] < doc for k in range(50)}
+        texts.append(" ".join(x for i, x in enumerate(w) if i not in gone) if gone else text)
+    return texts
+
+
+def test_pipeline_stages_against_brute_force(spark, docs, tmp_path):
+    outputs = []
+    given = spark.read.parquet(f"{SF_DIR}/documents.parquet")
+    model = quality.train(given, spark.read.parquet(f"{SF_DIR}/labels.parquet"))
+    for name, stage in corpus_pipeline.STAGES:
+        stage(spark, given, SF_DIR).write.parquet(f"{tmp_path}/{name}")
+        given = spark.read.parquet(f"{tmp_path}/{name}")
+        outputs.append(given.toPandas().sort_values("doc_id", ignore_index=True, kind="stable"))
+    accepted, deduped, apart, cut, packed = outputs
+
+    x = quality.features(model, [t.encode() for t in docs.text])
+    passes = 1 / (1 + np.exp(-(x @ np.array(model.weights)))) >= quality.ACCEPT
+    assert 0 < passes.sum() < len(docs)
+    assert rows(accepted) == rows(docs[passes])
+
+    expected = accepted.assign(text=lines.dedup_lines(accepted.doc_id.tolist(), accepted.text.tolist()))
+    expected["n_chars"] = expected.text.str.len()
+    assert rows(deduped) == rows(expected)
+
+    con = duckdb.connect()
+    con.register("documents", deduped)
+    kept = con.sql(ORACLES["op10_minhash_near_dedup"]).df().query("kept").doc_id
+    assert rows(apart) == rows(deduped[deduped.doc_id.isin(kept)])
+
+    expected = apart.assign(text=without_repeats(apart))
+    expected["n_chars"] = expected.text.str.len()
+    assert rows(cut) == rows(expected)
+
+    tokenizer, pieces_of = Tokenizer.from_file(WORD_MODEL), []
+    for doc, text in zip(cut.doc_id, cut.text):
+        ids = np.array([*tokenizer.encode(text, add_special_tokens=False).ids, 0], "<u4")
+        for piece, start in enumerate(range(0, len(ids), 2048)):
+            part = ids[start : start + 2048]
+            pieces_of.append((doc, piece, start, len(part), zlib.crc32(part.tobytes())))
+    columns = ["doc_id", "piece", "start", "length", "ids_crc32"]
+    assert rows(packed[columns]) == rows(pd.DataFrame(pieces_of, columns=columns))
+    packed = packed.sort_values(["sequence_id", "offset"])
+    assert (packed.offset == packed.groupby("sequence_id").length.cumsum() - packed.length).all()
