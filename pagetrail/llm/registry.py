@@ -2,7 +2,21 @@
 
 from __future__ import annotations
 
-from . import fingerprints, html, lines, neardup, packing, pieces, quality, rules, sharding, substrings
+from . import (
+    audit,
+    fingerprints,
+    html,
+    lines,
+    manifest,
+    nearest,
+    neardup,
+    packing,
+    pieces,
+    quality,
+    rules,
+    sharding,
+    substrings,
+)
 
 QUERIES = {
     "op1_quality_classifier": quality.op1_quality_classifier,
@@ -15,6 +29,9 @@ QUERIES = {
     "op8_stratified_sharding": sharding.op8_stratified_sharding,
     "op9_quality_rules": rules.op9_quality_rules,
     "op10_minhash_near_dedup": neardup.op10_minhash_near_dedup,
+    "op11_merkle_manifest": manifest.op11_merkle_manifest,
+    "op12_filter_audit": audit.op12_filter_audit,
+    "op13_ball_tree_top_k": nearest.op13_ball_tree_top_k,
 }
 
 ORACLES = {
@@ -23,4 +40,7 @@ ORACLES = {
     "op8_stratified_sharding": sharding.SQL,
     "op9_quality_rules": rules.SQL,
     "op10_minhash_near_dedup": neardup.SQL,
+    "op11_merkle_manifest": manifest.SQL,
+    "op12_filter_audit": audit.SQL,
+    "op13_ball_tree_top_k": nearest.SQL,
 }
