@@ -19,7 +19,7 @@ PARTS: dict[str, str] = {
                  AS us
         FROM events""",
     "ev": """
-        SELECT event_id, k, value, us AS event_timestamp,
+        SELECT event_id, k, value, CASE WHEN event_id % 101 <> 7 THEN us END AS event_timestamp,
                strftime(make_timestamp(us), '%Y%m%d') AS event_date,
                CASE WHEN user_id % 50 <> 49 THEN 'u' || user_id END AS user_pseudo_id,
                CASE WHEN event_type = 'view' THEN 'page_view'
@@ -78,13 +78,13 @@ PARTS: dict[str, str] = {
         WHERE e.event_name IN ('view_item', 'add_to_cart', 'begin_checkout', 'purchase')""",
     "gaps": """
         SELECT user_pseudo_id, event_timestamp, event_name, event_date,
-               lag(event_timestamp) OVER (PARTITION BY user_pseudo_id ORDER BY event_timestamp) AS earlier
+               lag(event_timestamp) OVER (PARTITION BY user_pseudo_id ORDER BY event_timestamp NULLS FIRST) AS earlier
         FROM ev""",
     "numbered": """
         SELECT user_pseudo_id, event_timestamp, event_name, event_date,
                CAST(count(*) FILTER (WHERE earlier IS NULL
                         OR date_sub('minute', make_timestamp(earlier), make_timestamp(event_timestamp)) > 30)
-                    OVER (PARTITION BY user_pseudo_id ORDER BY event_timestamp) AS BIGINT) AS session_number
+                    OVER (PARTITION BY user_pseudo_id ORDER BY event_timestamp NULLS FIRST) AS BIGINT) AS session_number
         FROM gaps""",
     "ses": """
         SELECT user_pseudo_id, session_number,
@@ -117,7 +117,7 @@ PARTS: dict[str, str] = {
                h.traffic_source, h.traffic_medium, h.traffic_campaign, h.percent_scrolled,
                s.session_start, s.session_end,
                row_number() OVER (PARTITION BY e.user_pseudo_id, s.session_number
-                                  ORDER BY e.event_timestamp, e.event_date, e.event_name) AS event_index
+                                  ORDER BY e.event_timestamp NULLS FIRST, e.event_date, e.event_name) AS event_index
         FROM ev e
         LEFT JOIN shared h USING (user_pseudo_id, event_timestamp)
         LEFT JOIN ses s ON s.user_pseudo_id = e.user_pseudo_id
@@ -279,7 +279,7 @@ PARTS: dict[str, str] = {
               FROM squeezed)""",
     "per_user": """
         SELECT w.user_pseudo_id, count(*) AS total_sessions,
-               avg(w.session_duration_seconds) AS avg_session_length_seconds,
+               avg(date_diff('second', w.session_start, w.session_end)) AS avg_session_length_seconds,
                CAST(sum(w.total_events) AS BIGINT) AS total_events,
                CAST(sum(w.total_pageviews) AS BIGINT) AS total_pageviews,
                CAST(sum(w.unique_pages_viewed) AS BIGINT) AS total_unique_pages_viewed,
@@ -430,10 +430,13 @@ FINAL: dict[str, str] = {
     "sessions_by_landing_page": """SELECT landing_page, count(*) AS sessions FROM land
                                    GROUP BY landing_page""",
     "purchase_funnel": """
-        SELECT step_order, step_name, count(*) AS sessions,
-               CAST(count(*) AS DOUBLE) / lag(count(*)) OVER (ORDER BY step_order) AS step_rate,
-               CAST(count(*) AS DOUBLE) / first_value(count(*)) OVER (ORDER BY step_order) AS overall_rate
-        FROM reached GROUP BY step_order, step_name""",
+        SELECT step_order, step_name, sessions,
+               CAST(sessions AS DOUBLE) / nullif(lag(sessions) OVER (ORDER BY step_order), 0) AS step_rate,
+               CAST(sessions AS DOUBLE) / nullif(first_value(sessions) OVER (ORDER BY step_order), 0) AS overall_rate
+        FROM (SELECT f.step_order, f.step_name, count(r.step_name) AS sessions
+              FROM (VALUES ('view_product', 1::BIGINT), ('add_to_cart', 2::BIGINT), ('begin_checkout', 3::BIGINT),
+                           ('purchase', 4::BIGINT)) f(step_name, step_order)
+              LEFT JOIN reached r USING (step_order) GROUP BY ALL)""",
     "page_types": """
         SELECT g.page_key, g.page_location, t.from_type AS page_type
         FROM pgs g JOIN (SELECT DISTINCT from_page, from_type FROM typed_pages) t

@@ -5,9 +5,22 @@ Each function gives SQL expression text.
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from .numbers import double_text, safe_double, safe_product
 
 
+def quoted(text: str) -> str:
+    """The text as an SQL literal."""
+    escaped = text.replace("\\", "\\\\").replace("'", "\\'")
+    return f"'{escaped}'"
+
+
+def wanted_params(params: str, keys: Iterable[str]) -> str:
+    """The event's parameters of these keys: each of them is then looked for in a short array."""
+    return f"filter({params}, p -> p.key IN ({', '.join(map(quoted, keys))}))"
+
+
 def value_text(value: str) -> str:
     """The first filled field of a parameter value, as text: string, int, float, double."""
     return f"""coalesce({value}.string_value, cast({value}.int_value AS string),
@@ -15,7 +28,7 @@ def value_text(value: str) -> str:
 
 
 def _largest(params: str, key: str, reading: str) -> str:
-    return f"array_max(transform(filter({params}, p -> p.key = '{key}'), p -> {reading}))"
+    return f"array_max(transform(filter({params}, p -> p.key = {quoted(key)}), p -> {reading}))"
 
 
 def param_text(params: str, key: str) -> str:
@@ -24,8 +37,8 @@ def param_text(params: str, key: str) -> str:
 
 
 def param_int(params: str, key: str) -> str:
-    """Largest ``int_value`` among the event's parameters of that key."""
-    return _largest(params, key, "p.value.int_value")
+    """Largest ``int_value`` among the event's parameters of that key. A scan reads keys and these values only."""
+    return f"array_max(zip_with({params}.key, {params}.value.int_value, (k, v) -> CASE WHEN k = {quoted(key)} THEN v END))"
 
 
 def param_number(params: str, key: str) -> str:
@@ -34,8 +47,8 @@ def param_number(params: str, key: str) -> str:
 
 
 def item_count(items: str) -> str:
-    """Number of items on the event; 0 for a NULL array."""
-    return f"cast(CASE WHEN {items} IS NULL THEN 0 ELSE size({items}) END AS bigint)"
+    """Number of items on the event; 0 for a NULL array. Only one field is read, which others read, too."""
+    return f"cast(greatest(size({items}.price), 0) AS bigint)"
 
 
 def item_total(items: str) -> str:

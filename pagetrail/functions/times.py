@@ -37,3 +37,8 @@ def whole_seconds(start: str, end: str) -> str:
 def floor_to(number: str, width: int) -> str:
     """Largest multiple of ``width`` that is not above the number."""
     return f"({number}) - pmod({number}, {width}L)"
+
+
+def second_steps(start: str, end: str) -> str:
+    """Beginnings of seconds passed between two instants given in microseconds."""
+    return f"({floor_to(end, MICROS_PER_SECOND)} - ({floor_to(start, MICROS_PER_SECOND)})) div {MICROS_PER_SECOND}"

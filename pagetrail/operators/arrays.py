@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.params import param_text, value_text
+from ..functions.params import param_text, quoted, value_text
 
 
 def flatten_params(df: DataFrame, keep: Sequence[str], params: str = "event_params") -> DataFrame:
@@ -22,8 +22,12 @@ def flatten_params(df: DataFrame, keep: Sequence[str], params: str = "event_para
 def flatten_items(
     df: DataFrame, keep: Sequence[str], fields: Sequence[str], items: str = "items"
 ) -> DataFrame:
-    """One row per event and item; events without items give none."""
-    return df.select(*keep, F.explode(items).alias("_i")).select(
+    """One row per event and item; events without items give none.
+
+    The named fields are zipped as arrays of their own, so that a scan leaves out the others.
+    """
+    wanted = F.arrays_zip(*[F.col(f"{items}.{field}").alias(field) for field in fields])
+    return df.select(*keep, F.explode(wanted).alias("_i")).select(
         *keep, *[F.col(f"_i.{field}").alias(field) for field in fields]
     )
 
@@ -40,7 +44,7 @@ def pivot_params(
     Groups in which no event has any of the keys are left out. The arrays are read inside the row,
     so only the wanted values are shuffled, and they are combined before the shuffle.
     """
-    wanted = ", ".join(f"'{key}'" for key in keys.values())
-    carrying = df.filter(f"exists({params}, p -> p.key IN ({wanted}))")
+    wanted = ", ".join(map(quoted, keys.values()))
+    carrying = df.filter(f"arrays_overlap({params}.key, array({wanted}))")
     read = carrying.selectExpr(*by, *[f"{typed(params, key)} AS {name}" for name, key in keys.items()])
     return read.groupBy(*by).agg(*[F.max(name).alias(name) for name in keys])

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.params import quoted
+
 
 def earliest(order: str, value: str, where: str = "true") -> str:
     """SQL aggregate: smallest ``(at, value)`` pair among the rows that qualify."""
@@ -88,10 +90,10 @@ def funnel(
     """
     hit = df.filter(F.col(event).isin(*{name for _, name, _ in steps}))
     firsts = hit.groupBy(*group).agg(
-        *[F.expr(f"min(CASE WHEN {event} = '{name}' THEN {ts} END) AS _s{i}")
+        *[F.expr(f"min(CASE WHEN {event} = {quoted(name)} THEN {ts} END) AS _s{i}")
           for i, (_, name, _) in enumerate(steps)]
     )
-    rows = ", ".join(f"'{step}', {order}L, _s{i}" for i, (step, _, order) in enumerate(steps))
+    rows = ", ".join(f"{quoted(step)}, {order}L, _s{i}" for i, (step, _, order) in enumerate(steps))
     return firsts.selectExpr(
         *group, f"stack({len(steps)}, {rows}) AS (step_name, step_order, step_timestamp)"
     ).filter("step_timestamp IS NOT NULL")

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from ..functions.fixed import GAP_MINUTES
 from ..functions.times import MICROS_PER_MINUTE, floor_to
 
-#: Slice of rows without a timestamp.
+#: Slice of rows without a timestamp. It comes before all others, as NULL does in the order of time.
 NO_SLICE = -(2**62)
 
 
@@ -62,14 +62,20 @@ def number_sessions(
     first: str = "first_ts",
     last: str = "last_ts",
     gap_minutes: int = GAP_MINUTES,
+    events: str = "events",
 ) -> DataFrame:
-    """Add session number, first and last instant to rows of one (user, slice) each."""
+    """Add session number, first and last instant to rows of one (user, slice) each.
+
+    Each of a user's ``events`` without a timestamp opens a session, as nothing is known to come before
+    it, and all of them bear the number that is reached with the last one.
+    """
     in_order = f"OVER (PARTITION BY {user} ORDER BY {first})"
     in_session = f"OVER (PARTITION BY {user}, session_number)"
     opened = slices.selectExpr(
         "*",
-        f"""CASE WHEN {first} - lag({last}) {in_order} < {gap_micros(gap_minutes)}L
-                 THEN 0L ELSE 1L END AS _opens""",
+        f"""CASE WHEN {first} IS NULL THEN {events}
+                 WHEN {first} - lag({last}) {in_order} < {gap_micros(gap_minutes)}L THEN 0L
+                 ELSE 1L END AS _opens""",
     )
     numbered = opened.selectExpr(*slices.columns, f"sum(_opens) {in_order} AS session_number")
     return numbered.selectExpr(
@@ -88,13 +94,14 @@ def count_before(amount: str, group: str, order: str) -> str:
 def sessionize(df: DataFrame, user: str, ts: str, gap_minutes: int = GAP_MINUTES) -> DataFrame:
     """Add ``session_number, session_start, session_end`` (microseconds) to events.
 
-    Events without a user are numbered as one user of their own.
+    Events without a user are numbered as one user of their own. Events without a timestamp come first and
+    share the number that is reached by opening a session with each of them.
     """
     keyed = df.selectExpr(
         "*", f"{user_key(user)} AS _key", f"{slice_start(ts, gap_micros(gap_minutes))} AS _slice"
     )
     slices = keyed.groupBy("_key", "_slice").agg(
-        F.min(ts).alias("first_ts"), F.max(ts).alias("last_ts")
+        F.min(ts).alias("first_ts"), F.max(ts).alias("last_ts"), F.count(F.lit(1)).alias("events")
     )
     numbered = number_sessions(slices, "_key", gap_minutes=gap_minutes).selectExpr(
         "_key", "_slice", "session_number", "session_first AS session_start", "session_last AS session_end"
@@ -137,15 +144,18 @@ def follow(
     """Value of the next row of the group, NULL on its last row.
 
     ``unit`` names bounded pieces, each inside one group. Inside a unit the next row is a window
-    lookup; the last row of a unit takes the first value of the group's next unit.
+    lookup; the last row of a unit takes the first value of the group's next unit, its head.
+
+    Heads and lookups need the same columns of ``df``, so that they read the same exchange by unit: that of ``df``,
+    if it is dealt out by unit already. Its source is read and shuffled once. No unit or group column is NULL.
     """
-    inside = f"OVER (PARTITION BY {', '.join(unit)} ORDER BY {order})"
+    whole = list(dict.fromkeys([*unit, *group]))
+    dealt = df.select(*whole, *[c for c in df.columns if c not in whole]).repartition(*unit)
+    inside = f"OVER (PARTITION BY {', '.join(whole)} ORDER BY {order})"
     across = f"OVER (PARTITION BY {', '.join(group)} ORDER BY {unit_order})"
-    firsts = df.groupBy(*dict.fromkeys([*unit, *group])).agg(
-        F.min(F.struct(order, value)).alias("_first")
-    )
-    nexts = firsts.selectExpr(*unit, f"lead(_first.{value}) {across} AS _next")
-    looked = df.selectExpr(
+    heads = dealt.groupBy(*whole).agg(F.min(F.struct(order, value)).alias("_first"))
+    nexts = heads.selectExpr(*unit, f"lead(_first.{value}) {across} AS _next")
+    looked = dealt.selectExpr(
         "*", f"lead({order}) {inside} IS NULL AS _ends", f"lead({value}) {inside} AS _inside"
     )
     return looked.join(nexts, list(unit), "left").selectExpr(

@@ -11,7 +11,7 @@ from ..functions.times import civil, instant, parse_day
 from ..functions.urls import canonical_url, surrogate_key
 from ..operators.arrays import flatten_items
 from ..operators.slices import follow, user_of
-from .core import KEY, KNOWN, SESSION, TS, UNIT, USER, VIEW, EventCore, keyed
+from .core import KEY, SESSION, TS, UNIT, USER, VIEW, EventCore, keyed
 from .dimensions import dim_pages
 
 _ITEM = [
@@ -33,27 +33,34 @@ _START = f"{instant('session_first')} AS session_start"
 _END = f"{instant('session_last')} AS session_end"
 
 
+def _nothing(*kinds: str) -> list[str]:
+    """Columns without a value, given as ``type name``."""
+    return [f"CAST(NULL AS {kind}) AS {name}" for kind, name in (k.split() for k in kinds)]
+
+
 def events(core: EventCore) -> DataFrame:
-    """All events with page parameters, session and position; no session without a user."""
-    return core.moments.selectExpr(
+    """All events with page parameters, session and position. An event without a user or a timestamp
+    has no session and no page."""
+    pages = ["page_location", "page_title", "page_referrer"]
+    in_sessions = core.moments.selectExpr(
+        _USER, "session_number", "event_index", "event_name", TS, _DATETIME, _DATE, *pages, _START, _END
+    )
+    others = core.apart.selectExpr(
         _USER,
-        f"CASE WHEN {KNOWN} THEN session_number END AS session_number",
+        *_nothing("bigint session_number"),
         "event_index",
         "event_name",
         TS,
         _DATETIME,
         _DATE,
-        "page_location",
-        "page_title",
-        "page_referrer",
-        f"CASE WHEN {KNOWN} THEN {instant('session_first')} END AS session_start",
-        f"CASE WHEN {KNOWN} THEN {instant('session_last')} END AS session_end",
+        *_nothing(*[f"string {c}" for c in pages], "timestamp session_start", "timestamp session_end"),
     )
+    return in_sessions.unionAll(others)
 
 
 def user_journey(core: EventCore) -> DataFrame:
-    """Events of known users in session order."""
-    return core.moments.filter(KNOWN).selectExpr(
+    """Events of sessions in their order."""
+    return core.moments.selectExpr(
         _USER,
         "session_number",
         "event_index",
@@ -69,7 +76,7 @@ def user_journey(core: EventCore) -> DataFrame:
 
 
 def ordered_views(core: EventCore) -> DataFrame:
-    """Pageviews of known users with their position in the session, still keyed by slice."""
+    """Pageviews of sessions with their position there, still keyed by unit."""
     return core.moments.filter(VIEW).withColumnRenamed("view_index", "pageview_index")
 
 
@@ -99,15 +106,19 @@ def pageviews(core: EventCore, pages: DataFrame | None = None) -> DataFrame:
 
 def scroll_depth(core: EventCore) -> DataFrame:
     """Scroll events with the share of the page that was scrolled."""
-    return core.moments.filter(F.col("event_name") == fixed.SCROLL).selectExpr(
+    scrolled = F.col("event_name") == fixed.SCROLL
+    in_sessions = core.moments.filter(scrolled).selectExpr(
+        _USER, "session_number", TS, _DATETIME, "event_date", "page_location", "percent_scrolled"
+    )
+    others = core.apart.filter(scrolled).selectExpr(
         _USER,
-        f"CASE WHEN {KNOWN} THEN session_number END AS session_number",
+        *_nothing("bigint session_number"),
         TS,
         _DATETIME,
         "event_date",
-        "page_location",
-        "percent_scrolled",
+        *_nothing("string page_location", "double percent_scrolled"),
     )
+    return in_sessions.unionAll(others)
 
 
 def user_journey_paths(core: EventCore) -> DataFrame:
@@ -133,14 +144,11 @@ def user_journey_paths(core: EventCore) -> DataFrame:
 def item_performance(core: EventCore) -> DataFrame:
     """Items with their value and, on purchases, revenue.
 
-    An item belongs to every event name its user has at that instant, once per name.
+    An item belongs to every event name its user has at that instant, once per name. Only instants with
+    items meet the items.
     """
-    named = (
-        core.moments.filter(KNOWN)
-        .groupBy(*UNIT, TS, "event_name", "session_number")
-        .agg(F.min("event_date").alias("event_date"), F.max("page_location").alias("page_location"))
-    )
-    sold = keyed(core.raw, core.width).filter(F.col(USER).isNotNull())
+    named = core.moments.filter("sells").select(*UNIT, TS, "event_name", "event_date", "page_location", "session_number")
+    sold = keyed(core.raw, core.unit_width).filter(F.col(USER).isNotNull() & F.col(TS).isNotNull())
     items = flatten_items(sold, [*UNIT, TS], _ITEM)
     value = safe_product("price", "quantity")
     return items.join(named, [*UNIT, TS]).selectExpr(

@@ -9,9 +9,11 @@ from pyspark.sql import functions as F
 
 from ..functions import fixed
 from ..functions.labels import page_type, source_label
+from ..functions.params import quoted
 from ..functions.urls import canonical_url
 from ..operators.calendars import attributes
-from .core import KEY, KNOWN, EventCore
+from ..operators.slices import NO_SLICE
+from .core import KEY, KNOWN, MET, EventCore
 from .dimensions import dim_pages
 from .events import ordered_views, user_journey_paths
 from .sessions import (
@@ -29,8 +31,8 @@ def kpi_totals(core: EventCore) -> DataFrame:
     """One row: sessions, users, pageviews, revenue."""
     zero = F.lit(0).cast("long")
     per_user = core.slices.groupBy(KEY).agg(
-        F.max("session_number").alias("sessions"),
-        F.expr(f"sum(CASE WHEN {KNOWN} THEN views ELSE 0L END) AS views"),
+        F.expr(f"max(sessions_per_user) + count_if(slice = {NO_SLICE}) AS sessions"),
+        F.expr(f"sum(CASE WHEN {MET} THEN views ELSE 0L END) AS views"),
     )
     traffic = per_user.agg(
         F.sum("sessions").alias("total_sessions"),
@@ -38,7 +40,7 @@ def kpi_totals(core: EventCore) -> DataFrame:
         F.sum("views").alias("total_pageviews"),
         F.lit(0.0).alias("total_revenue"),
     )
-    money = core.moments.agg(
+    money = core.facts.agg(
         zero.alias("total_sessions"),
         zero.alias("total_users"),
         zero.alias("total_pageviews"),
@@ -51,7 +53,7 @@ def kpi_totals(core: EventCore) -> DataFrame:
 def daily_trend(core: EventCore, grain: str = "date") -> DataFrame:
     """Sessions and revenue over time; ``grain`` is a calendar column such as ``year_month``."""
     of_day = attributes("event_date")
-    daily = daily_overview(core)
+    daily = daily_overview(core).filter(F.col("event_date").isNotNull())
     if grain == "date":
         return daily.selectExpr(
             "event_date AS date",
@@ -90,12 +92,13 @@ def sessions_by_landing_page(core: EventCore, top: int | None = None) -> DataFra
 def purchase_funnel(
     core: EventCore, steps: Sequence[tuple[str, str, int]] = fixed.FUNNEL_STEPS
 ) -> DataFrame:
-    """Sessions per funnel step, with the rate to the step before and to the first step."""
+    """Sessions per funnel step, with the rate to the step before and to the first step. A step that no
+    session reached has 0."""
     counts = funnels(core, steps).agg(
         *[F.expr(f"count_if(step_order = {order}) AS s{i}") for i, (_, _, order) in enumerate(steps)]
     )
     rows = ", ".join(
-        f"{order}L, '{step}', s{i}, "
+        f"{order}L, {quoted(step)}, s{i}, "
         + (f"try_divide(s{i}, s{i - 1})" if i else "CAST(NULL AS DOUBLE)")
         + f", try_divide(s{i}, s0)"
         for i, (step, _, order) in enumerate(steps)

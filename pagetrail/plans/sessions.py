@@ -1,7 +1,8 @@
 """Session-, user-, page- and day-grain marts.
 
-Every mart is one grouping of the event core, whose measures are sums, minima, maxima and distinct
-counts: Spark combines them before the shuffle, so one very active user, page or day stays small.
+A mart of sessions adds up facts: rows of (user, slice, date, page), made where the events of a slice are. They meet
+the slices' sessions, and are merged per session with a combine before the shuffle. So one very active
+user, page or day stays small, and no mart here joins or sorts single events.
 """
 
 from __future__ import annotations
@@ -12,37 +13,41 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import fixed
-from ..functions.times import civil, instant, parse_day, utc_day, whole_seconds
-from ..operators.grouping import earliest, first_filled, funnel, last_filled, latest, top1
+from ..functions.times import civil, instant, parse_day, second_steps, utc_day, whole_seconds
+from ..operators.grouping import earliest, first_filled, funnel, latest, top1
 from ..operators.slices import user_of
-from .core import KEY, KNOWN, SESSION, TS, UNIT, USER, VIEW, EventCore, keyed
+from .core import KEY, KNOWN, MET, SESSION, TRAFFIC, TS, UNIT, USER, EventCore, keyed
 
 BOUNDS = ["session_first", "session_last"]
 
 _USER = f"{user_of(KEY)} AS {USER}"
 _START = f"{instant('session_first')} AS session_start"
 _END = f"{instant('session_last')} AS session_end"
-_PLACE = "named_struct('location', page_location, 'title', page_title, 'referrer', page_referrer)"
+_PLACE = "named_struct('location', page_location, 'title', {0}.value.title, 'referrer', {0}.value.referrer)"
+_ON_PAGE = "page_location IS NOT NULL AND {0} IS NOT NULL"
 
-# Session measures: SQL aggregates over the moments.
+
+def _counted(name: str) -> str:
+    """Events of facts, or of a slice whose events meet no session and have no facts."""
+    return f"sum(CASE WHEN {MET} THEN {name} ELSE slice_{name} END)"
+
+
+# Session measures: SQL aggregates over the slices with their facts.
 MEASURES = {
-    "first_view": earliest(TS, _PLACE, VIEW),
-    "last_view": latest(TS, _PLACE, VIEW),
-    "first_page": first_filled(TS, "page_location", VIEW),
-    "last_page": last_filled(TS, "page_location", VIEW),
-    "traffic_source": first_filled(TS, "traffic_source"),
-    "traffic_medium": first_filled(TS, "traffic_medium"),
-    "traffic_campaign": first_filled(TS, "traffic_campaign"),
-    "total_events": "count(1)",
-    "total_pageviews": f"count_if(event_name = '{fixed.PAGE_VIEW}')",
+    "first_view": earliest("first_view.at", _PLACE.format("first_view"), "first_view IS NOT NULL"),
+    "last_view": latest("last_view.at", _PLACE.format("last_view"), "last_view IS NOT NULL"),
+    "first_page": f"{earliest('first_view.at', 'page_location', _ON_PAGE.format('first_view'))}.value",
+    "last_page": f"{latest('last_view.at', 'page_location', _ON_PAGE.format('last_view'))}.value",
+    **{c: f"min({c}).value" for c in TRAFFIC},
+    "total_events": _counted("events"),
+    "total_pageviews": _counted("views"),
     "unique_pages_viewed": "count(DISTINCT page_location)",
-    "purchase_events": f"count_if(event_name = '{fixed.PURCHASE}')",
+    "purchase_events": _counted("purchases"),
     "session_revenue": "sum(revenue)",
     "sessions_per_user": "max(sessions_per_user)",
     "events_per_user": "max(events_per_user)",
 }
-_TRAFFIC = ["traffic_source", "traffic_medium", "traffic_campaign"]
-# looked up by user: NULL for sessions without one
+# looked up by (user, session): NULL for the sessions of events that meet none
 _ENGAGEMENT = [
     "total_events",
     "total_pageviews",
@@ -56,13 +61,25 @@ def _aggregates(names: Sequence[str]) -> list[Column]:
     return [F.expr(f"{MEASURES[name]} AS {name}") for name in names]
 
 
+def with_facts(core: EventCore) -> DataFrame:
+    """Slices with their facts: a row for each of them, or one without any where no event meets a session.
+
+    Slices come to the facts, which stay where their events are: by (user, slice), never by user.
+    """
+    own = ["events", "views", "purchases"]
+    slices = core.slices.withColumnsRenamed({c: f"slice_{c}" for c in own}).repartition(*UNIT)
+    return slices.join(core.facts, UNIT, "left")
+
+
 def session_facts(core: EventCore, *names: str) -> DataFrame:
-    """One row per session, sessions without a user included, with the named measures."""
-    facts = core.moments.groupBy(*SESSION, *BOUNDS).agg(*_aggregates(names))
+    """One row per session with the named measures. Sessions of events without a user or a timestamp are
+    rows, too; ``met`` is false for them."""
+    facts = with_facts(core).groupBy(*SESSION, *BOUNDS).agg(F.expr(f"max({MET}) AS met"), *_aggregates(names))
     return facts.selectExpr(
         *SESSION,
         *BOUNDS,
-        *[f"CASE WHEN {KNOWN} THEN {n} END AS {n}" if n in _ENGAGEMENT else n for n in names],
+        "met",
+        *[f"CASE WHEN met THEN {n} END AS {n}" if n in _ENGAGEMENT else n for n in names],
     )
 
 
@@ -97,9 +114,9 @@ def sessions(core: EventCore) -> DataFrame:
 def funnels(
     core: EventCore, steps: Sequence[tuple[str, str, int]] = fixed.FUNNEL_STEPS
 ) -> DataFrame:
-    """First time of each funnel step per session of a known user."""
+    """First time of each funnel step per session."""
     hits = keyed(core.bare, core.width).filter(
-        F.col("event_name").isin(*{name for _, name, _ in steps}) & F.expr(KNOWN)
+        F.col("event_name").isin(*{name for _, name, _ in steps}) & F.expr(MET)
     )
     numbered = hits.join(core.slices.select(*UNIT, "session_number"), UNIT)
     return funnel(numbered, steps, SESSION, "event_name", TS).selectExpr(
@@ -128,15 +145,17 @@ def exit_pages(core: EventCore) -> DataFrame:
 
 def traffic_sources(core: EventCore) -> DataFrame:
     """Sessions with the first source, medium and campaign seen, each on its own."""
-    return session_facts(core, *_TRAFFIC, "first_view").selectExpr(
-        _USER, "session_number", _START, _END, *_TRAFFIC, "first_view.value.location AS landing_page"
+    return session_facts(core, *TRAFFIC, "first_view").selectExpr(
+        _USER, "session_number", _START, _END, *TRAFFIC, "first_view.value.location AS landing_page"
     )
 
 
 def engagement(core: EventCore) -> DataFrame:
-    """Event, pageview and page counts per session; one row for all events without a user."""
+    """Event, pageview and page counts per session. A user's events without a timestamp are one row without a
+    session, and so are all events without a user."""
     per_session = (
-        core.moments.withColumn("session_number", F.expr(f"CASE WHEN {KNOWN} THEN session_number END"))
+        with_facts(core)
+        .withColumn("session_number", F.expr(f"CASE WHEN {MET} THEN session_number END"))
         .groupBy(*SESSION)
         .agg(*_aggregates([*_ENGAGEMENT, "first_page", "last_page"]))
     )
@@ -156,7 +175,7 @@ def engagement(core: EventCore) -> DataFrame:
 def session_summary(core: EventCore) -> DataFrame:
     """Wide session row: landing, exit, engagement, traffic and revenue from one grouping."""
     facts = session_facts(
-        core, "first_view", "last_view", *_ENGAGEMENT, *_TRAFFIC, "session_revenue"
+        core, "first_view", "last_view", *_ENGAGEMENT, *TRAFFIC, "session_revenue"
     )
     return facts.selectExpr(
         _USER,
@@ -166,7 +185,7 @@ def session_summary(core: EventCore) -> DataFrame:
         *_view_columns("first_view", "landing_page"),
         *_view_columns("last_view", "exit_page"),
         *_ENGAGEMENT,
-        *_TRAFFIC,
+        *TRAFFIC,
         "session_revenue",
     )
 
@@ -184,7 +203,7 @@ def user_facts(core: EventCore) -> DataFrame:
         "total_events",
         "total_pageviews",
         "unique_pages_viewed",
-        *_TRAFFIC,
+        *TRAFFIC,
         "session_revenue",
         "purchase_events",
     )
@@ -192,11 +211,11 @@ def user_facts(core: EventCore) -> DataFrame:
         "*",
         "first_view.value.location AS landing_page",
         "last_view.value.location AS exit_page",
-        f"{whole_seconds('session_first', 'session_last')} AS seconds",
+        f"{second_steps('session_first', 'session_last')} AS seconds",
         f"count(1) OVER (PARTITION BY {KEY}, first_view.value.location) AS landings",
         f"count(1) OVER (PARTITION BY {KEY}, last_view.value.location) AS exits",
     )
-    first_touch = [*_TRAFFIC, "landing_page"]
+    first_touch = [*TRAFFIC, "landing_page"]
     return by_user.groupBy(KEY).agg(
         F.expr("count(1) AS total_sessions"),
         F.expr("avg(seconds) AS avg_session_length_seconds"),
@@ -219,30 +238,39 @@ def user_summary(core: EventCore) -> DataFrame:
 
 
 def content_performance(core: EventCore) -> DataFrame:
-    """Page and day: views, users, sessions, events and revenue, from one grouping.
+    """Page and day: views, users, sessions, events and revenue.
 
     ``sessions`` counts distinct session numbers, which restart with each user. Pageviews without
-    an address form one row per day that has no event or revenue figures.
+    an address form one row per day that has no event or revenue figures. Distinct users and sessions
+    are counted by grouping twice, from rows that hold a user's session at a page and day.
     """
-    figures = {
-        "total_events": "count(1)",
-        "add_to_cart_events": f"count_if(event_name = '{fixed.ADD_TO_CART}')",
-        "purchases": f"count_if(event_name = '{fixed.PURCHASE}')",
-        "total_revenue": "sum(revenue)",
-    }
-    pages = (
-        core.moments.withColumn("event_date", F.expr(parse_day("event_date")))
-        .groupBy("page_location", "event_date")
-        .agg(
-            F.expr(f"count_if({VIEW}) AS pageviews"),
-            F.expr(f"count(DISTINCT CASE WHEN {VIEW} THEN {KEY} END) AS unique_users"),
-            F.expr(f"count(DISTINCT CASE WHEN {VIEW} THEN session_number END) AS sessions"),
-            *[F.expr(f"{aggregate} AS {name}") for name, aggregate in figures.items()],
-        )
+    figures = {"total_events": "events", "add_to_cart_events": "carts", "purchases": "purchases", "total_revenue": "revenue"}
+    at_page = ["page_location", "event_date"]
+    sums = [F.expr(f"sum({c}) AS {c}") for c in ("views", *figures.values())]
+    visits = (
+        core.facts.join(core.slices.select(*UNIT, "session_number").repartition(*UNIT), UNIT)
+        .withColumn("event_date", F.expr(parse_day("event_date")))
+        .groupBy(*at_page, *SESSION)
+        .agg(*sums)
+    )
+    # a visit counts once under its user, with its figures, and once under its session number, without
+    listed = visits.selectExpr(
+        *at_page,
+        "views",
+        *figures.values(),
+        f"explode(array(struct({KEY} AS user, NULL AS number), struct(NULL AS user, session_number AS number))) AS of",
+    ).selectExpr(
+        *at_page, "of.*", "views > 0 AS seen", *[f"CASE WHEN of.user IS NOT NULL THEN {c} END AS {c}" for c in ("views", *figures.values())]
+    )
+    each = listed.groupBy(*at_page, "user", "number").agg(F.expr("max(seen) AS seen"), *sums)
+    pages = each.groupBy(*at_page).agg(
+        F.expr("sum(views) AS pageviews"),
+        F.expr("count_if(seen AND user IS NOT NULL) AS unique_users"),
+        F.expr("count_if(seen AND number IS NOT NULL) AS sessions"),
+        *[F.expr(f"sum({c}) AS {name}") for name, c in figures.items()],
     )
     return pages.filter("pageviews > 0").selectExpr(
-        "page_location",
-        "event_date",
+        *at_page,
         "pageviews",
         "unique_users",
         "sessions",
@@ -255,13 +283,13 @@ def daily_overview(core: EventCore) -> DataFrame:
 
     Events and revenue count only where their own date is the day the session started. Totals and
     both rankings come from one pass: a session is listed under the day's total, under its landing
-    page and under its source.
+    page and under its source. Sessions of events without a timestamp have no day and form a row of their own.
     """
     day = utc_day("session_first")
-    same_day = f"{KNOWN} AND {parse_day('event_date')} = {day}"
-    per_session = core.moments.groupBy(*SESSION, "session_first").agg(
-        F.expr(f"count_if({same_day}) AS events"),
-        F.expr(f"count_if({same_day} AND event_name = '{fixed.PAGE_VIEW}') AS views"),
+    same_day = f"{parse_day('event_date')} = {day}"
+    per_session = with_facts(core).groupBy(*SESSION, "session_first").agg(
+        F.expr(f"coalesce(sum(CASE WHEN {same_day} THEN events END), 0L) AS events"),
+        F.expr(f"coalesce(sum(CASE WHEN {same_day} THEN views END), 0L) AS views"),
         F.expr(f"sum(CASE WHEN {same_day} THEN revenue END) AS revenue"),
         *_aggregates(["first_view", "traffic_source"]),
     )

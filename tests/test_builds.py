@@ -51,12 +51,12 @@ def test_export_round_trip_and_day_range(spark, raw, tmp_path):
 def test_invariants(raw, stored):
     rows = events.events(stored)
     assert rows.count() == raw.count()
-    assert rows.filter("user_pseudo_id IS NOT NULL AND session_number IS NULL").count() == 0
+    assert rows.filter("(user_pseudo_id IS NULL OR event_timestamp IS NULL) <> (session_number IS NULL)").count() == 0
     held = sessions.sessions(stored)
     assert held.agg(F.sum("event_count")).first()[0] == raw.count()
     spans = sorted(
         (r["user_pseudo_id"], r["session_start"], r["session_end"])
-        for r in held.filter("user_pseudo_id IS NOT NULL").collect()
+        for r in held.filter("user_pseudo_id IS NOT NULL AND session_start IS NOT NULL").collect()
     )
     for before, after in zip(spans, spans[1:]):
         if before[0] == after[0]:
@@ -93,7 +93,7 @@ def test_result_does_not_depend_on_partitioning(spark, raw, mart):
     "mart", [sessions.sessions, events.events, events.user_journey_paths, sessions.session_summary]
 )
 def test_result_does_not_depend_on_slice_width(raw, core, mart):
-    assert bag(mart(EventCore(raw, slice_minutes=1))) == bag(mart(core))
+    assert bag(mart(EventCore(raw, slice_minutes=1, unit_minutes=31))) == bag(mart(core))
 
 
 def test_build_and_views(spark, core, tmp_path):
@@ -138,13 +138,85 @@ def bare_planning(spark):
 def test_events_are_shuffled_once(spark, raw, bare_planning):
     """Beside the slices and the result only the (user, slice) exchange carries single events."""
     plan = plan_of(spark, sessions.landing_pages(EventCore(raw)))
-    # events by (user, slice); slices: partial rows, by user, back by (user, slice); sessions
+    # events by (user, slice); slices: partial rows, by user, to the facts by (user, slice); sessions
     assert plan.count("Exchange hashpartitioning") == 5
-    assert plan.count("REPARTITION_BY_COL") == 1
+    assert plan.count("REPARTITION_BY_COL") == 2
     assert len(re.findall(r"FileScan", plan)) == 2
     assert "event_params" in plan and "items" not in plan
 
 
+def above(plan: str, marker: str) -> list[str]:
+    """Operators of a plan that stand above the last one with the marker, on the way to the root."""
+    lines = plan.splitlines()
+    at = max(i for i, line in enumerate(lines) if marker in line)
+
+    def depth(line):
+        return len(re.match(r"[ :]*[+:]- |", line).group())
+
+    found, level = [], depth(lines[at])
+    for line in reversed(lines[:at]):
+        if depth(line) < level:
+            level = depth(line)
+            found.append(line)
+    return found
+
+
+@pytest.mark.parametrize(
+    "mart",
+    [
+        sessions.session_summary,
+        sessions.user_summary,
+        sessions.daily_overview,
+        sessions.landing_pages,
+        sessions.engagement,
+        sessions.traffic_sources,
+    ],
+)
+def test_session_marts_join_facts_not_events(spark, raw, bare_planning, mart):
+    """Between the exchange of single events and the first join they are grouped to facts."""
+    path = above(plan_of(spark, mart(EventCore(raw))), "REPARTITION_BY_COL")
+    joins = [i for i, line in enumerate(path) if "Join" in line]
+    grouped = [i for i, line in enumerate(path) if "Aggregate(key=[user_key" in line and "page_location" in line]
+    assert len(joins) == 1 and grouped and min(grouped) < joins[0]
+    assert not any("Window" in line for line in path[min(grouped) : joins[0]])
+
+
+def test_paths_shuffle_events_once(spark, raw):
+    """Heads of units and the next page come from one exchange of single events and one of the units."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    paths = [events.user_journey_paths(EventCore(raw)), reports.page_type_transitions(EventCore(raw))]
+    for frame in paths:
+        frame.collect()
+        final = frame._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+        assert len(re.findall("FileScan", final)) == 2  # events, and the units
+        assert len(re.findall(r"Reused.*REPARTITION_BY_COL", final)) == 1
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_no_expand_and_no_whole_items(spark, raw, bare_planning):
+    content = plan_of(spark, sessions.content_performance(EventCore(raw)))
+    assert "Expand" not in content
+
+    def item_fields(frame):
+        found = re.findall(r"items:array<struct<([^>]*)>>", plan_of(spark, frame))
+        return {len(fields.split(",")) for fields in found}
+
+    spark.conf.set("spark.sql.maxMetadataStringLength", "5000")
+    assert item_fields(sessions.session_summary(EventCore(raw))) == {2}
+    assert item_fields(jobs.MARTS["dim_items"](EventCore(raw))) == {9}
+    assert item_fields(events.item_performance(EventCore(raw))) == {1, 10}  # how many there are, and those shown
+    spark.conf.unset("spark.sql.maxMetadataStringLength")
+
+
+def test_events_without_session_are_counted_not_windowed(spark, raw, bare_planning):
+    """Windows over events that meet no session hold counts; no window is over a (user, slice) of them."""
+    plan = plan_of(spark, EventCore(raw).apart)
+    windows = [line for line in plan.splitlines() if re.search(r"[+:]- .*Window \[", line)]
+    assert len(windows) == 2 and all("sum(n" in line for line in windows)
+    below = plan[plan.index(windows[0]) :]
+    assert "partial_count(1)" in below
+
+
 def test_slices_combine_before_the_shuffle(spark, raw, bare_planning):
     plan = plan_of(spark, EventCore(raw).slices.select("session_number", "session_first"))
     assert plan.count("Exchange") == 2

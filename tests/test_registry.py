@@ -25,4 +25,4 @@ def test_query_equals_sql(spark, con, name):
 
 
 def test_entry(spark):
-    assert registry.entry(spark).count() == 259
+    assert registry.entry(spark).count() == 269
