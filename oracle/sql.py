@@ -273,9 +273,7 @@ PARTS: dict[str, str] = {
                date_trunc('year', d)::DATE AS year_start,
                (date_trunc('year', d) + INTERVAL 364 DAY)::DATE AS approx_year_end
         FROM (SELECT unnest(generate_series(
-                  least(DATE '2020-01-01', make_date(year(min(make_timestamp(us))), 1, 1)),
-                  greatest(DATE '2030-12-31', make_date(year(max(make_timestamp(us))), 12, 31)),
-                  INTERVAL 1 DAY)) AS d
+                  min(make_timestamp(us))::DATE, max(make_timestamp(us))::DATE, INTERVAL 1 DAY)) AS d
               FROM squeezed)""",
     "per_user": """
         SELECT w.user_pseudo_id, count(*) AS total_sessions,
@@ -416,7 +414,47 @@ FINAL: dict[str, str] = {
                            min(price) AS default_price
                     FROM itm WHERE item_id IS NOT NULL GROUP BY item_id""",
     "dim_pages": "SELECT * FROM pgs",
-    "dim_date": "SELECT * FROM cal",
+    "calendar_days": """SELECT c.*, (SELECT count(*) FROM squeezed s WHERE make_timestamp(s.us)::DATE = c.date) AS events
+                        FROM cal c""",
+    "short_sessions": """
+        SELECT user_pseudo_id, event_timestamp, event_name, event_date, session_number,
+               min(event_timestamp) OVER (PARTITION BY user_pseudo_id, session_number) AS session_start,
+               max(event_timestamp) OVER (PARTITION BY user_pseudo_id, session_number) AS session_end
+        FROM (SELECT *, CAST(count(*) FILTER (WHERE earlier IS NULL OR event_timestamp - earlier >= 11 * 60000000)
+                             OVER (PARTITION BY user_pseudo_id ORDER BY event_timestamp NULLS FIRST) AS BIGINT) AS session_number
+              FROM gaps)""",
+    "events_in_intervals": """
+        SELECT e.user_pseudo_id, e.event_timestamp, e.event_name, e.event_date, s.session_number,
+               s.session_start, s.session_end
+        FROM ev e LEFT JOIN ses s ON s.user_pseudo_id = e.user_pseudo_id AND e.event_timestamp BETWEEN s.us0 AND s.us1""",
+    "first_sources": """
+        SELECT user_pseudo_id,
+               first(traffic_source ORDER BY event_timestamp, traffic_source) FILTER (WHERE traffic_source IS NOT NULL) AS traffic_source,
+               first(traffic_medium ORDER BY event_timestamp, traffic_medium) FILTER (WHERE traffic_medium IS NOT NULL) AS traffic_medium,
+               first(traffic_campaign ORDER BY event_timestamp, traffic_campaign) FILTER (WHERE traffic_campaign IS NOT NULL) AS traffic_campaign
+        FROM evx WHERE session_number IS NOT NULL GROUP BY user_pseudo_id""",
+    "order_positions": """
+        SELECT o_custkey, o_orderkey, epoch_us(o_orderdate) AS ordered_at,
+               row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) AS position FROM orders""",
+    "customer_orders": """
+        SELECT o_custkey, arg_min(o_orderkey, (o_orderdate, o_orderkey)) AS first_order,
+               arg_min(o_totalprice, (o_orderdate, o_orderkey)) AS first_price,
+               arg_max(o_orderkey, (o_orderdate, o_orderkey)) AS last_order,
+               arg_max(o_totalprice, (o_orderdate, o_orderkey)) AS last_price
+        FROM orders GROUP BY o_custkey""",
+    "supplier_favourites": """
+        SELECT f.l_suppkey, f.l_returnflag AS usual_flag, p.l_partkey AS top_part
+        FROM (SELECT *, row_number() OVER (PARTITION BY l_suppkey ORDER BY n DESC, l_returnflag) AS place
+              FROM (SELECT l_suppkey, l_returnflag, count(*) AS n FROM lineitem GROUP BY ALL)) f
+        JOIN (SELECT *, row_number() OVER (PARTITION BY l_suppkey ORDER BY n DESC, l_partkey) AS place
+              FROM (SELECT l_suppkey, l_partkey, sum(l_quantity) AS n FROM lineitem GROUP BY ALL)) p USING (l_suppkey)
+        WHERE f.place = 1 AND p.place = 1""",
+    "priority_transitions": """
+        SELECT o_orderpriority, next_priority, count(*) AS times
+        FROM (SELECT o_orderpriority,
+                     lead(o_orderpriority) OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) AS next_priority
+              FROM orders)
+        WHERE next_priority IS NOT NULL GROUP BY ALL""",
     "kpi_totals": """SELECT (SELECT count(*) FROM ses) AS total_sessions,
                             (SELECT count(DISTINCT user_pseudo_id) FROM ses) AS total_users,
                             (SELECT count(*) FROM pv) AS total_pageviews,
@@ -473,4 +511,4 @@ def oracle(name: str) -> str:
 
     visit(FINAL[name])
     chain = ",\n".join(f"{part} AS ({PARTS[part]})" for part in PARTS if part in needed)
-    return f"WITH {chain}\n{FINAL[name]}"
+    return f"WITH {chain}\n{FINAL[name]}" if chain else FINAL[name]

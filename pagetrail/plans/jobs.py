@@ -7,6 +7,7 @@ from collections.abc import Callable, Iterable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..sources.export import save_table
+from ..sources.files import load_table
 from . import dimensions, events, sessions, staging
 from .core import EventCore, store_core
 
@@ -92,7 +93,9 @@ def register_views(core: EventCore, names: Iterable[str] = MARTS) -> None:
 def build(
     core: EventCore, folder: str | None = None, names: Iterable[str] = STORED, keep_core: bool = True
 ) -> dict[str, DataFrame]:
-    """Fully rebuild the named marts as Parquet tables below the folder.
+    """Fully rebuild the named marts as Parquet tables below the folder, each in its report order.
+
+    A table changes when its new run is complete (see ``sources.files``); ``read_mart`` gives its current run.
 
     With ``keep_core`` the event core and the page dimension are written first and every mart
     reads them, so single events are shuffled once for the whole build, and a lost executor costs
@@ -103,7 +106,7 @@ def build(
     source = store_core(core, f"{folder}/core") if keep_core else core
     tables: dict[str, DataFrame] = {}
     if keep_core or "dim_pages" in names:
-        tables["dim_pages"] = save_table(MARTS["dim_pages"](source), f"{folder}/dim_pages")
+        tables["dim_pages"] = save_table(MARTS["dim_pages"](source), f"{folder}/dim_pages", REPORT_ORDER["dim_pages"])
     for name in names:
         if name == "fct_pageviews":
             mart = events.pageviews(source, tables.get("dim_pages"))
@@ -111,5 +114,10 @@ def build(
             continue
         else:
             mart = MARTS[name](source)
-        tables[name] = save_table(mart, f"{folder}/{name}")
+        tables[name] = save_table(mart, f"{folder}/{name}", REPORT_ORDER.get(name))
     return tables
+
+
+def read_mart(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    """A mart that ``build`` stored below the folder."""
+    return load_table(spark, f"{folder}/{name}")

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .files import daily_shards, store_table
 from .schema import EVENTS
 
 
@@ -39,7 +40,26 @@ def write_export(events: DataFrame, path: str, tasks_per_day: int = 64) -> None:
     ).partitionBy("event_date").parquet(path)
 
 
-def save_table(df: DataFrame, path: str) -> DataFrame:
-    """Full rebuild of a stored table; returns it as read back."""
-    df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+def read_shards(
+    spark: SparkSession,
+    folder: str,
+    first_day: str | None = None,
+    last_day: str | None = None,
+    prefix: str = "events_",
+) -> DataFrame:
+    """The event export in daily shards ``events_YYYYMMDD``, finished or intraday.
+
+    Only shards of the days (``YYYYMMDD``, both included) are opened, whatever else the folder holds. An event
+    without a date has that of its shard.
+    """
+    paths = daily_shards(spark, folder, prefix, first_day, last_day)
+    if not paths:
+        return spark.createDataFrame([], EVENTS)
+    events = spark.read.schema(EVENTS).parquet(*paths)
+    day = F.regexp_extract("_metadata.file_path", rf"/{prefix}(?:intraday_)?(\d{{8}})[^/]*(?:/[^/]*)?$", 1)
+    return events.withColumn("event_date", F.coalesce("event_date", day)).select(*EVENTS.names)
+
+
+def save_table(df: DataFrame, path: str, order: list[str] | None = None) -> DataFrame:
+    """Full rebuild of a stored table; returns it as read back. See ``files.store_table``."""
+    return store_table(df, path, order)

@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 
 from pagetrail.plans import events, jobs, reports, sessions
 from pagetrail.plans.core import EventCore, store_core
-from pagetrail.sources.export import read_export, write_export
+from pagetrail.sources.export import read_export, read_shards, save_table, write_export
+from pagetrail.sources.files import current_run, load_table, names_in
 from pagetrail.sources.testsite import testsite_export as site_export
 
 
@@ -100,7 +101,7 @@ def test_build_and_views(spark, core, tmp_path):
     tables = jobs.build(core, str(tmp_path), ["fct_sessions", "fct_pageviews", *jobs.STORED])
     assert set(tables) == {"fct_sessions", "fct_pageviews", *jobs.STORED}
     assert bag(tables["fct_pageviews"]) == bag(events.pageviews(core))
-    assert bag(spark.read.parquet(str(tmp_path / "dim_pages"))) == bag(tables["dim_pages"])
+    assert bag(jobs.read_mart(spark, str(tmp_path), "dim_pages")) == bag(tables["dim_pages"])
     jobs.register_views(core)
     counted = spark.sql("SELECT count(*) FROM fct_sessions JOIN dim_users USING (user_pseudo_id)").first()[0]
     assert counted == sessions.sessions(core).filter("user_pseudo_id IS NOT NULL").count()
@@ -108,6 +109,47 @@ def test_build_and_views(spark, core, tmp_path):
     assert first == sorted(first, key=lambda r: (r["user_pseudo_id"] or "", r["session_number"]))
 
 
+def test_shards_outside_of_the_days_are_not_opened(spark, raw, tmp_path):
+    events_of = {d: raw.filter(F.col("event_date") == d) for d in ("20240102", "20240103", "20240104")}
+    events_of["20240102"].write.parquet(f"{tmp_path}/events_20240102")
+    events_of["20240103"].write.parquet(f"{tmp_path}/events_intraday_20240103")
+    events_of["20240104"].drop("event_date").write.parquet(f"{tmp_path}/events_20240104")
+    for broken in ("events_20240101", "events_20240105", "pages_20240103", "events_2024010"):
+        (tmp_path / broken).mkdir()
+        (tmp_path / broken / "part-0.parquet").write_bytes(b"no parquet")
+    found = read_shards(spark, str(tmp_path), "20240102", "20240104")
+    expected = raw.filter("event_date BETWEEN '20240102' AND '20240104'")
+    assert bag(found) == bag(expected) and found.count() > 0
+    assert set(found.inputFiles()) and not any("0101" in f or "0105" in f for f in found.inputFiles())
+    assert read_shards(spark, str(tmp_path), "20250101").count() == 0
+
+
+def test_failed_rebuild_leaves_the_table(spark, tmp_path):
+    path = str(tmp_path / "table")
+    with pytest.raises(FileNotFoundError):
+        load_table(spark, path)
+    first = save_table(spark.range(10), path)
+    with pytest.raises(Exception):
+        save_table(spark.range(10).selectExpr("raise_error('broken') AS id"), path)
+    assert load_table(spark, path).count() == 10
+    # a rebuild may read the table itself; its readers keep the run before
+    second = save_table(load_table(spark, path).filter("id < 3"), path)
+    assert (first.count(), second.count(), load_table(spark, path).count()) == (10, 3, 3)
+    save_table(spark.range(5), path)
+    assert len([n for n in names_in(spark, path) if n.startswith("run-")]) == 2
+    assert load_table(spark, path).count() == 5 and second.count() == 3
+
+
+def test_stored_marts_are_in_report_order(spark, core, tmp_path):
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    jobs.build(core, str(tmp_path), ["fct_sessions"])
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    run = current_run(spark, f"{tmp_path}/fct_sessions")
+    names = [n for n in names_in(spark, run) if n.endswith(".parquet")]
+    rows = [(r["user_pseudo_id"] or "", r["session_number"]) for n in names for r in spark.read.parquet(f"{run}/{n}").collect()]
+    assert len(names) > 1 and rows == sorted(rows) and len(rows) == sessions.sessions(core).count()
+
+
 def test_shared_folder_comes_from_the_session(spark):
     class Session:
         def __init__(self, folder):
