@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import itertools
 import re
+import time
 import zlib
 
 import duckdb
@@ -184,6 +185,73 @@ def test_piece_lattice_against_all_segmentations():
         assert abs(drawn.count(s) / 8000 - p / sum(exact.values())) < 0.03
 
 
+def drawn_by_hand(lattices: pieces.Lattices, text: str, seed: int) -> list[int]:
+    """One segmentation, place by place, with the random numbers that a text of this seed has."""
+
+    def mixed(x: int) -> int:
+        return int(pieces.mix(np.array([x % 2**64], np.uint64))[0])
+
+    ids = []
+    for nth, unit in enumerate(pieces._UNIT.findall(" " + text) if text else []):
+        ways: list[list[tuple[float, int, list[int]]]] = [[]]
+        reach = [1.0]
+        for end in range(1, len(unit) + 1):
+            arcs = []
+            if unit[end - 1] not in lattices.piece:
+                raw = unit[end - 1].encode()
+                arcs.append((lattices.least ** len(raw) * reach[end - 1], 1, [lattices.byte[b] for b in raw]))
+            for k in range(1, min(end, lattices.longest) + 1):
+                if unit[end - k : end] in lattices.piece:
+                    number, weight = lattices.piece[unit[end - k : end]]
+                    arcs.append((weight * reach[end - k], k, [number]))
+            ways.append(arcs)
+            reach.append(sum(w for w, _, _ in arcs))
+        unit_seed, place, step, parts = mixed(seed ^ mixed(nth + 1)), len(unit), 0, []
+        while place:
+            step += 1
+            u = (mixed(unit_seed + step) >> 11) * 2.0**-53 * reach[place]
+            for w, k, found in ways[place]:
+                if u < w:
+                    break
+                u -= w
+            parts.append(found)
+            place -= k
+        ids += [i for part in reversed(parts) for i in part]
+    return ids
+
+
+def test_sampled_pieces_against_brute_force(spark, docs):
+    lattices = pieces.Lattices(PIECE_MODEL)
+    texts = [t[:600] for t in docs.text[:40]] + ["日本語の文章です。" * 40, "a" * 700, "é\x00\r\n\n  ☃", "", " "]
+    seeds = pieces.mix(np.arange(len(texts), dtype=np.uint64))
+    expected = [drawn_by_hand(lattices, t, int(s)) for t, s in zip(texts, seeds)]
+    for size in (len(texts), 7, 1):  # what is known from earlier texts changes nothing
+        for a in range(0, len(texts), size):
+            ids, edges = lattices.sample(texts[a : a + size], seeds[a : a + size])
+            assert [ids[x:y].tolist() for x, y in itertools.pairwise(edges)] == expected[a : a + size]
+    monkey = pieces.KEPT_ARCS
+    pieces.KEPT_ARCS = 0
+    again, _ = lattices.sample(texts, seeds)
+    pieces.KEPT_ARCS = monkey
+    assert again.tolist() == [i for one in expected for i in one]
+
+
+def test_sampled_pieces_query_against_its_operator(spark, docs):
+    found = QUERIES["op4_sampled_pieces"](spark, SF_DIR).toPandas().sort_values("doc_id")
+    given = spark.read.parquet(f"{SF_DIR}/documents.parquet")
+    lists = {r["id"]: r["ids"] for r in pieces.encode(given, PIECE_MODEL).collect()}
+    assert found.n_ids.tolist() == [len(lists[d]) for d in found.doc_id]
+    assert found.ids_crc32.tolist() == [zlib.crc32(np.array(lists[d], "<u4").tobytes()) for d in found.doc_id]
+    assert pieces.digests(given.where("false"), PIECE_MODEL).collect() == []
+
+
+def test_long_units_cost_as_much_as_others():
+    lattices = pieces.Lattices(PIECE_MODEL)
+    began = time.process_time()
+    ids, _ = lattices.sample(["日本語の文章を長く続ける" * 8000], np.zeros(1, np.uint64))
+    assert time.process_time() - began < 3 and lattices.decode(ids).decode() == "日本語の文章を長く続ける" * 8000
+
+
 def test_every_piece_can_be_drawn(monkeypatch):
     lattices = pieces.Lattices(PIECE_MODEL)
     across = [".”", " ».", "”,", " (“", "².", " […]", ");\r", " }\r", "\r\r"]  # punctuation of both kinds, line ends
