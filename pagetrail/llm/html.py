@@ -4,11 +4,13 @@ from __future__ import annotations
 
 import html as entities
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .storage import prepare
 from .words import groups
@@ -17,6 +19,9 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 #: Elements whose content is text up to their end tag.
 RAW = frozenset("script style textarea title xmp iframe noembed noframes".split())
 HIDDEN = frozenset("head script style template noscript iframe object audio video canvas datalist noembed noframes title".split())
+#: Cells of a table are aligned up to so many characters, and blocks are indented by so many of those around them.
+ALIGNED = 60
+INDENTS = 30
 #: What an image or a formula hides.
 DRAWING = {
     "svg": frozenset("defs desc metadata symbol clippath mask pattern marker lineargradient radialgradient filter".split()),
@@ -53,6 +58,7 @@ CLOSES: dict[str, tuple[frozenset, frozenset]] = {
 #: Elements below which only parts of tables stand; all else that is found there stands before the table.
 TABLE_PARTS = frozenset("table thead tbody tfoot tr colgroup".split())
 CELLS = frozenset(["td", "th", "caption"])
+_IN_TABLE = TABLE_PARTS | CELLS | {"col"}
 _ENDS_P = BLOCK - {"body", "html", "option", "caption", "select"}
 _P_SCOPE = frozenset(["table", "td", "th", "caption", "button", "object", "body", "html"])
 
@@ -94,10 +100,48 @@ class Node:
         return bool(_INVISIBLE.search(self.attribute("style") or ""))
 
 
+class Open:
+    """The open elements of a page, the innermost last, and where those of each tag stand."""
+
+    def __init__(self, root: Node) -> None:
+        self.nodes = [root]
+        self.places: dict[str, list[int]] = {root.tag: [0]}
+
+    def __getitem__(self, place: int) -> Node:
+        return self.nodes[place]
+
+    def __len__(self) -> int:
+        return len(self.nodes)
+
+    def append(self, node: Node) -> None:
+        self.places.setdefault(node.tag, []).append(len(self.nodes))
+        self.nodes.append(node)
+
+    def pop(self) -> Node:
+        node = self.nodes.pop()
+        self.places[node.tag].pop()
+        return node
+
+    def keep(self, n: int) -> None:
+        """End all but the outermost n."""
+        while len(self.nodes) > n:
+            self.pop()
+
+    def innermost(self, tags: frozenset) -> int:
+        """Place of the innermost of these; -1 if none is open."""
+        found, places = -1, self.places
+        for tag in tags:
+            own = places.get(tag)
+            if own and own[-1] > found:
+                found = own[-1]
+        return found
+
+
 def parse(page: str) -> Node:
-    """The tree of a page. End tags that are missing or wrong are mended as browsers do."""
+    """The tree of a page. End tags that are missing or wrong are mended as browsers do. The time for a tag does
+    not grow with the depth at which it stands."""
     root = Node("html")
-    stack = [root]
+    stack = Open(root)
     at = 0
 
     def text(piece: str) -> None:
@@ -131,20 +175,20 @@ def parse(page: str) -> Node:
                         stack.pop()
                     stack.pop()
             continue
-        if tag == "html" or tag == "body" and any(n.tag == "body" for n in stack):
+        if tag == "html" or tag == "body" and stack.places.get("body"):
             continue
         if tag == "head" and any(isinstance(c, Node) or c.strip() for c in root.children):
             continue  # not at the beginning
         if tag == "body":  # ends the head
-            del stack[1:]
+            stack.keep(1)
         if tag in _ENDS_P and _in_scope(stack, frozenset(["p"]), _P_SCOPE):
             _close(stack, frozenset(["p"]), _P_SCOPE)
         if tag in CLOSES:
             _close(stack, *CLOSES[tag])
-        if tag in TABLE_PARTS | CELLS | {"col"}:
+        if tag in _IN_TABLE:
             place = _table_place(stack)
             if place is not None:
-                del stack[place + 1 :]  # ends what stands before the table
+                stack.keep(place + 1)  # ends what stands before the table
                 if tag == "table":  # not in a cell: ends the table
                     while stack.pop().tag != "table":
                         pass
@@ -155,7 +199,7 @@ def parse(page: str) -> Node:
         if stack[-1].tag == "head" and tag not in IN_HEAD:
             stack.pop()
         node = Node(tag, attributes)
-        if tag in TABLE_PARTS | CELLS | {"col"}:
+        if tag in _IN_TABLE:
             stack[-1].children.append(node)
         else:
             _insert(stack, node)
@@ -173,12 +217,12 @@ def parse(page: str) -> Node:
     return root
 
 
-def _open(stack: list[Node], node: Node) -> None:
+def _open(stack: Open, node: Node) -> None:
     stack[-1].children.append(node)
     stack.append(node)
 
 
-def _table_of(stack: list[Node], place: int) -> int:
+def _table_of(stack: Open, place: int) -> int:
     """Place of the table that the node at ``place`` is or is a part of, without a cell in between; 0 if there is none."""
     while stack[place].tag in TABLE_PARTS:
         if stack[place].tag == "table":
@@ -187,17 +231,15 @@ def _table_of(stack: list[Node], place: int) -> int:
     return 0
 
 
-def _table_place(stack: list[Node]) -> int | None:
+def _table_place(stack: Open) -> int | None:
     """Place of the innermost part of a table, if no cell is open in it."""
-    for place in range(len(stack) - 1, 0, -1):
-        if stack[place].tag in CELLS:
-            return None
-        if stack[place].tag in TABLE_PARTS:
-            return place if _table_of(stack, place) else None
-    return None
+    place = stack.innermost(TABLE_PARTS)
+    if place < 1 or stack.innermost(CELLS) > place:
+        return None
+    return place if _table_of(stack, place) else None
 
 
-def _insert(stack: list[Node], child: Node | str) -> None:
+def _insert(stack: Open, child: Node | str) -> None:
     """Below the last open node; before the table if that is one or a part of one other than a cell."""
     table = _table_of(stack, len(stack) - 1)
     if table:
@@ -207,17 +249,14 @@ def _insert(stack: list[Node], child: Node | str) -> None:
         stack[-1].children.append(child)
 
 
-def _in_scope(stack: list[Node], tags: frozenset, scope: frozenset) -> bool:
-    for node in reversed(stack):
-        if node.tag in tags:
-            return True
-        if node.tag in scope:
-            return False
-    return False
+def _in_scope(stack: Open, tags: frozenset, scope: frozenset) -> bool:
+    """Whether one of the tags is open, with none of the scope inside it."""
+    place = stack.innermost(tags)
+    return place >= 0 and place > stack.innermost(scope)
 
 
-def _close(stack: list[Node], tags: frozenset, scope: frozenset) -> None:
-    while _in_scope(stack[1:], tags, scope):
+def _close(stack: Open, tags: frozenset, scope: frozenset) -> None:
+    while len(stack) > 1 and _in_scope(stack, tags, scope):
         stack.pop()
 
 
@@ -258,7 +297,7 @@ class _Page:
             if self.gap and self.lines:
                 self.lines.append("")
             self.gap = False
-            self.line.append("".join(self.prefix) + self.marker)
+            self.line.append("".join(self.prefix[:INDENTS]) + self.marker)
             if self.marker:
                 self.prefix[-1] = " " * len(self.marker)
                 self.marker = ""
@@ -293,8 +332,22 @@ def render(root: Node) -> str:
     page = _Page()
     # (node, place among its children, preformatted, number of the next list item)
     stack: list[list] = []
+    opened: Counter = Counter()  # tags of the stack
+    lists: list[list] = []  # frames of lists
     outer: list[tuple] = []  # tables that wait for a cell to be rendered
 
+    def push(frame: list) -> None:
+        stack.append(frame)
+        opened[frame[0].tag] += 1
+        if frame[0].tag in LISTS:
+            lists.append(frame)
+
+    def pop() -> None:
+        tag = stack.pop()[0].tag
+        opened[tag] -= 1
+        if tag in LISTS:
+            lists.pop()
+
     def enter(node: Node, pre: bool) -> None:
         if node.tag == "br":
             page.end(True)
@@ -305,14 +358,14 @@ def render(root: Node) -> str:
         page.space |= node.tag in APART
         if node.tag in BLOCK:
             page.end()
-            page.gap |= node.tag in SPACED and not (node.tag in LISTS and any(f[0].tag == "li" for f in stack))
+            page.gap |= node.tag in SPACED and not (node.tag in LISTS and opened["li"])
         if node.tag == "table":
             rows = _cells(node)
             loose = [c for c in node.children if isinstance(c, Node) and c.tag == "caption" and not c.hidden()]
-            stack.append([node, 0, pre, 1, (rows, [[] for _ in rows], loose)])
+            push([node, 0, pre, 1, (rows, [[] for _ in rows], loose, [0])])
             return
         if node.tag == "li":
-            parent = next((f for f in reversed(stack) if f[0].tag in LISTS), None)
+            parent = lists[-1] if lists else None
             if parent is not None and parent[0].tag == "ol":
                 page.marker = f"{parent[3]}. "
                 parent[3] += 1
@@ -322,16 +375,17 @@ def render(root: Node) -> str:
         elif node.tag in ("blockquote", "dd"):
             page.prefix.append("  ")
         start = node.attribute("start") if node.tag == "ol" else None
-        stack.append([node, 0, pre or node.tag in ("pre", "textarea"), int(start) if start and start.isdigit() else 1, None])
+        number = int(start) if start and re.fullmatch("[0-9]{1,9}", start) else 1
+        push([node, 0, pre or node.tag in ("pre", "textarea"), number, None])
 
     def unseen(node: Node) -> bool:
-        return node.tag in _UNSEEN and any(node.tag in DRAWING.get(f[0].tag, ()) for f in stack)
+        return node.tag in _UNSEEN and any(opened[tag] and node.tag in inside for tag, inside in DRAWING.items())
 
     def leave(node: Node) -> None:
         page.space |= node.tag in APART
         if node.tag in BLOCK:
             page.end()
-            page.gap |= node.tag in SPACED and not (node.tag in LISTS and any(f[0].tag == "li" for f in stack))
+            page.gap |= node.tag in SPACED and not (node.tag in LISTS and opened["li"])
         if node.tag == "li":
             page.prefix.pop()
             page.marker = ""
@@ -343,24 +397,26 @@ def render(root: Node) -> str:
         frame = stack[-1]
         node, place, pre, _, table = frame
         if table is not None:  # captions, then cells one by one, each on a page of its own
-            rows, done, captions = table
+            rows, done, captions, at = table
             if captions:
                 enter(captions.pop(0), pre)
                 continue
-            row = next((i for i, cells in enumerate(rows) if len(done[i]) < len(cells)), None)
-            if row is not None:
+            while at[0] < len(rows) and len(done[at[0]]) == len(rows[at[0]]):
+                at[0] += 1
+            if at[0] < len(rows):
+                row = at[0]
                 outer.append((page, frame, row))
                 page = _Page()
-                stack.append([Node("cell"), 0, False, 1, None])
+                push([Node("#cell"), 0, False, 1, None])
                 stack[-1][0].children = rows[row][len(done[row])].children
                 continue
-            stack.pop()
+            pop()
             _write_table(page, [d for d in done if d])
             leave(node)
             continue
         if place >= len(node.children):
-            stack.pop()
-            if node.tag == "cell":
+            pop()
+            if node.tag == "#cell":
                 page.end()
                 content = page.lines
                 page, waiting, row = outer.pop()
@@ -379,11 +435,14 @@ def render(root: Node) -> str:
 
 
 def _write_table(page: _Page, rows: list[list[str]]) -> None:
+    """Columns as wide as their widest cell of at most ALIGNED characters; a longer cell runs over, so that the
+    text of a table is no more than its cells and ALIGNED characters for each."""
     widths: list[int] = []
     for row in rows:
         widths += [0] * (len(row) - len(widths))
         for k, cell in enumerate(row):
-            widths[k] = max(widths[k], len(cell))
+            if len(cell) <= ALIGNED:
+                widths[k] = max(widths[k], len(cell))
     for row in rows:
         page.write("  ".join(cell.ljust(width) for cell, width in zip(row, widths)).rstrip() or " ", True)
         page.end()
@@ -397,23 +456,25 @@ def extract_text(pages: DataFrame, html: str = "html") -> DataFrame:
     """``pages`` with a further column ``text`` in place of the raw ``html``; a column named ``text`` is replaced.
 
     Any bytes are a page: missing and wrong tags are mended. A null page has a null text, an empty one an
-    empty text. Every row gives a row.
+    empty text. Every row gives a row; an empty table stays empty. Other columns may have any names.
     """
     prepare(pages.sparkSession)
     kept = [c for c in pages.columns if c not in (html, "text")]
-    given = pages.select(*kept, F.col(html).alias("__html"))
-    schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in pages.select(*kept).schema] + ["text string"])
+    columns = [F.col(f"`{c.replace('`', '``')}`") for c in kept]
+    given = pages.select(F.struct(*columns).alias("kept"), F.col(html).alias("html"))
+    if not kept:
+        given = pages.select(F.struct(F.lit(0).alias("none")).alias("kept"), F.col(html).alias("html"))
 
     def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            valid = batch.column(len(kept)).is_valid().to_pylist()
-            for first, texts in groups(batch, "__html"):
+            valid = batch.column(1).is_valid().to_pylist()
+            for first, texts in groups(batch, "html"):
                 found = [page_text(t.decode()) if valid[first + i] else None for i, t in enumerate(texts)]
-                rows = batch.slice(first, len(texts))
-                arrays = [rows.column(i) for i in range(len(kept))]
-                yield pa.RecordBatch.from_arrays([*arrays, pa.array(found, pa.string())], [*kept, "text"])
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, len(texts)), pa.array(found, pa.string())], ["kept", "text"])
 
-    return given.mapInArrow(compute, schema)
+    schema = T.StructType([given.schema["kept"], T.StructField("text", T.StringType())])
+    rendered = given.mapInArrow(compute, schema)
+    return rendered.select(*[F.col("kept")[c].alias(c) for c in kept], "text")
 
 
 def op5_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -312,6 +312,51 @@ def test_page_text_of_malformed_and_unusual_pages(page, expected):
     assert html.page_text(page) == expected
 
 
+@pytest.mark.parametrize("start", ["²", "5" * 5000, "-3", "", "07x", "٣"])
+def test_odd_list_starts_begin_at_one(start):
+    assert html.page_text(f"<ol start='{start}'><li>a</ol>") == "1. a"
+    assert html.page_text("<ol start=41><li>a<li>b</ol>") == "41. a\n42. b"
+
+
+def test_text_of_a_page_is_linear_in_the_page():
+    wide = "<table><tr><td>" + "x" * 100_000 + "<td>b</tr>" + "<tr><td>a<td>b</tr>" * 2000 + "</table>"
+    assert len(html.page_text(wide)) < 2 * len(wide)
+    deep = "<blockquote>x" * 5000
+    assert len(html.page_text(deep)) < 10 * len(deep)
+    assert html.page_text("<cell>a</cell>b") == "ab"
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        "<div>" * 20_000 + "end",
+        "<div><ul><li>x" * 7000,
+        "<span>" * 10_000 + "<p>y" * 10_000,
+        "<div>" * 5000 + "<td>z" * 15_000,
+        "<table><tr><td>" * 400 + "a",
+        "<table>" + "<tr><td>c" * 10_000,
+        "<blockquote>q" * 20_000,
+        "</p>" * 20_000,
+    ],
+)
+def test_deep_pages_take_no_longer_than_others(page):
+    began = time.process_time()
+    html.page_text(page)
+    assert time.process_time() - began < 1
+
+
+def test_pages_through_spark(spark):
+    given = [(1, "<p>a", "x"), (2, None, None), (3, "", "z"), (None, "<table><td>b", ""), (1, "<p>a", "x")]
+    pages = spark.createDataFrame(given, "page_id long, html string, url string")
+    clashing = pages.selectExpr("*", "1 as __html", "'old' as text", "2 as kept", "3 as `a.b`", "4 as `c``d`")
+    found = html.extract_text(clashing)
+    assert found.columns == ["page_id", "url", "__html", "kept", "a.b", "c`d", "text"]
+    expected = [(1, "x", 1, 2, 3, 4, "a"), (2, None, 1, 2, 3, 4, None), (3, "z", 1, 2, 3, 4, ""), (None, "", 1, 2, 3, 4, "b"), (1, "x", 1, 2, 3, 4, "a")]
+    assert sorted(map(tuple, found.collect()), key=str) == sorted(expected, key=str)
+    assert html.extract_text(clashing.where("false")).collect() == []
+    assert sorted(str(r[0]) for r in html.extract_text(pages.select("html")).collect()) == ["", "None", "a", "a", "b"]
+
+
 def test_page_query_keeps_every_page(spark):
     found = QUERIES["op5_html_text"](spark, SF_DIR).toPandas()
     assert len(found) == pq.read_table(f"{SF_DIR}/pages.parquet").num_rows
