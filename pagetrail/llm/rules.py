@@ -8,7 +8,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .storage import prepare, stored
@@ -23,8 +23,9 @@ ACCURACY = 0.01
 GAMMA = (1 + ACCURACY) / (1 - ACCURACY)
 #: Bucket of the value 0.
 ZERO = -100_000
-#: A group with fewer documents takes the merged sketch of its language, or of all documents.
-MIN_GROUP = 200
+#: Documents of its language that each group counts besides its own, in the language's proportions; a language counts
+#: as many of the whole. So the fewer documents a group has, the more it is judged as those around it.
+PRIOR = 200
 #: A value is an outlier beyond a quartile by so many interquartile ranges.
 REACH = 4.0
 
@@ -156,21 +157,58 @@ def sketches(counted: DataFrame) -> DataFrame:
     return fine.unionByName(merged(1, "lang")).unionByName(merged(2))
 
 
+def blended(sketched: DataFrame) -> DataFrame:
+    """(lang, source, feature, bucket, weight, total): each group's sketch with PRIOR documents of its language, whose
+    sketch has PRIOR documents of the whole. Weights are whole numbers, as every share is multiplied by the totals."""
+    whole_number = "decimal(38,0)"
+    n = F.col("n").cast(whole_number)
+
+    def level(k: int, *keys: str) -> DataFrame:
+        rows = sketched.where(F.col("level") == k).select(*[F.col(c).alias(f"{c}{k}") for c in (*keys, "feature", "bucket")], n.alias(f"n{k}"))
+        return rows
+
+    own, of_lang, of_all = level(0, "lang", "source"), level(1, "lang"), level(2)
+    total0 = own.groupBy("lang0", "source0", "feature0").agg(F.sum("n0").cast(whole_number).alias("t0"))
+    total1 = of_lang.groupBy("lang1", "feature1").agg(F.sum("n1").cast(whole_number).alias("t1"))
+    total2 = of_all.groupBy("feature2").agg(F.sum("n2").cast(whole_number).alias("t2"))
+    same_lang = F.expr("lang0 <=> lang1 and feature0 = feature1")
+    same_feature = F.expr("feature0 = feature2")
+    groups_ = total0.join(total1, same_lang).drop("lang1", "feature1").join(total2, same_feature).drop("feature2")
+    groups_ = stored(groups_.selectExpr("lang0", "source0", "feature0", "t0", "t1", "t2"), "groups")
+    key = ["lang0", "source0", "feature0"]
+
+    def product(*factors: str) -> Column:
+        value = F.lit(1).cast(whole_number)
+        for factor in factors:
+            value = (value * F.expr(factor).cast(whole_number)).cast(whole_number)
+        return value
+
+    named = groups_.toDF("lang_of", "source_of", "feature_of", "t0", "t1", "t2")
+    mine = own.join(named, F.expr("lang0 <=> lang_of and source0 <=> source_of and feature0 = feature_of"))
+    parts = [
+        mine.select(*key, F.col("bucket0").alias("bucket"), product("n0", f"t1 + {PRIOR}", "t2").alias("w")),
+        groups_.join(of_lang, same_lang).select(*key, F.col("bucket1").alias("bucket"), product(str(PRIOR), "n1", "t2").alias("w")),
+        groups_.join(of_all, same_feature).select(*key, F.col("bucket2").alias("bucket"), product(str(PRIOR * PRIOR), "n2").alias("w")),
+    ]
+    weights = parts[0].unionAll(parts[1]).unionAll(parts[2]).groupBy(*key, "bucket").agg(F.sum("w").cast(whole_number).alias("weight"))
+    joined = weights.join(named, F.expr("lang0 <=> lang_of and source0 <=> source_of and feature0 = feature_of"))
+    total = product(f"t0 + {PRIOR}", f"t1 + {PRIOR}", "t2")
+    return joined.select(
+        F.col("lang0").alias("lang"), F.col("source0").alias("source"), F.col("feature0").alias("feature"), "bucket", "weight", total.alias("total")
+    )
+
+
 def fences(sketched: DataFrame) -> DataFrame:
-    """One row for each level, language and source: ``members`` and, for each rule, [low, high]."""
-    group = ["level", "lang", "source", "feature"]
+    """One row for each language and source with, for each rule, [low, high]."""
+    group = ["lang", "source", "feature"]
     order = Window.partitionBy(*group).orderBy("bucket")
-    rows = sketched.withColumn("upto", F.sum("n").over(order)).withColumn(
-        "total", F.sum("n").over(Window.partitionBy(*group))
-    )
+    rows = blended(sketched).withColumn("upto", F.sum("weight").over(order).cast("decimal(38,0)"))
     value = F.when(F.col("bucket") == ZERO, 0.0).otherwise(2 * F.pow(F.lit(GAMMA), F.col("bucket")) / (GAMMA + 1))
 
-    def quantile(part: float):  # the smallest bucket that this part of the values reaches
-        return F.min(F.when(F.col("upto") >= part * F.col("total"), value))
+    def quartile(k: int):  # the smallest bucket that this part of the weight reaches
+        return F.min(F.when(4 * F.col("upto") >= k * F.col("total"), value))
 
-    quartiles = rows.groupBy(*group).agg(
-        quantile(0.25).alias("q1"), quantile(0.75).alias("q3"), F.max("total").alias("members")
-    )
+    quartiles = rows.groupBy(*group).agg(quartile(1).alias("q1"), quartile(3).alias("q3"))
     of = {r.feature: F.col("feature") == r.feature for r in RULES}
     columns = []
     for r in RULES:
@@ -178,7 +216,7 @@ def fences(sketched: DataFrame) -> DataFrame:
         columns.append(F.max(F.when(of[r.feature], F.col("q3") + width)).alias(f"{r.feature}_high"))
         if r.below:
             columns.append(F.max(F.when(of[r.feature], F.col("q1") - width)).alias(f"{r.feature}_low"))
-    return quartiles.groupBy("level", "lang", "source").agg(F.max("members").alias("members"), *columns)
+    return quartiles.groupBy("lang", "source").agg(*columns)
 
 
 def quality_rules(docs: DataFrame) -> DataFrame:
@@ -187,26 +225,15 @@ def quality_rules(docs: DataFrame) -> DataFrame:
     Documents that fail the base rules (fewer than 50 words, or over half of the words in repeated 3-word
     windows) fail. Of the others, a document fails whose word length, symbols, duplicate lines or repeated
     words are outliers for its language and source: more than REACH interquartile ranges beyond a
-    quartile, by the quantile sketches of that group; a group of under MIN_GROUP documents takes the merged
-    sketch of its language, a small language that of all documents.
+    quartile, by the quantile sketch of that group, blended with that of its language (see ``blended``).
 
     ``docs`` has ``doc_id, text, lang, source``; other columns are not used. A null language or
     source is a value of its own. Null and empty texts have no words and fail. Every row gives a row.
     """
     counted = stored(count_texts(docs), "counts")
-    limits = stored(fences(sketches(counted)), "fences")
-    names = [c for c in limits.columns if c.endswith(("_low", "_high"))]
-
-    # thresholds of every (language, source) first, from the finest level that is large enough: a small
-    # table, joined once with the documents
-    none = F.lit(None).cast("string")
-    keys = ((F.col("lang"), F.col("source")), (F.col("lang"), none), (none, none))
-    levels = F.array(*[F.struct(F.lit(k).alias("at"), a.alias("l"), b.alias("s")) for k, (a, b) in enumerate(keys)])
-    wanted = limits.where("level = 0").select(F.col("lang").alias("lang_of"), F.col("source").alias("source_of"), F.explode(levels).alias("w"))
-    enough = limits.where((F.col("level") == 2) | (F.col("members") >= MIN_GROUP))
-    table = wanted.join(enough, F.expr("w.at = level and w.l <=> lang and w.s <=> source"))
-    finest = F.min_by(F.struct(*names), F.col("level")).alias("limit")
-    table = stored(table.groupBy("lang_of", "source_of").agg(finest).select("lang_of", "source_of", "limit.*"), "limits")
+    limits = fences(stored(sketches(counted), "sketches")).withColumnsRenamed({"lang": "lang_of", "source": "source_of"})
+    # a small table, joined once with the documents
+    table = stored(limits, "limits")
     joined = counted.join(table, F.expr("lang <=> lang_of and source <=> source_of"), "left")
     passes = ~F.col("base_failed")
     for r in RULES:
@@ -260,28 +287,34 @@ WITH words AS (
   SELECT 0 AS level, lang, source, feature, b FROM buckets
   UNION ALL SELECT 1, lang, NULL, feature, b FROM buckets
   UNION ALL SELECT 2, NULL, NULL, feature, b FROM buckets
+), counts AS (
+  SELECT level, lang, source, feature, b, count(*)::HUGEINT AS n FROM leveled GROUP BY ALL
+), groups AS (
+  SELECT g.lang, g.source, g.feature, g.t AS t0, l.t AS t1, w.t AS t2
+  FROM (SELECT lang, source, feature, sum(n)::HUGEINT AS t FROM counts WHERE level = 0 GROUP BY ALL) g
+  JOIN (SELECT lang, feature, sum(n)::HUGEINT AS t FROM counts WHERE level = 1 GROUP BY ALL) l
+    ON l.lang IS NOT DISTINCT FROM g.lang AND l.feature = g.feature
+  JOIN (SELECT feature, sum(n)::HUGEINT AS t FROM counts WHERE level = 2 GROUP BY ALL) w ON w.feature = g.feature
+), weighted AS (
+  SELECT g.lang, g.source, g.feature, c.b, g.t0, g.t1, g.t2,
+         CASE c.level WHEN 0 THEN c.n * (g.t1 + {PRIOR}) * g.t2 WHEN 1 THEN {PRIOR} * c.n * g.t2 ELSE {PRIOR * PRIOR} * c.n END AS w
+  FROM groups g JOIN counts c ON c.feature = g.feature
+   AND (c.level = 2 OR (c.lang IS NOT DISTINCT FROM g.lang AND (c.level = 1 OR c.source IS NOT DISTINCT FROM g.source)))
 ), ranks AS (
-  SELECT level, lang, source, feature, b, sum(n) OVER (PARTITION BY level, lang, source, feature ORDER BY b) AS upto,
-         sum(n) OVER (PARTITION BY level, lang, source, feature) AS total
-  FROM (SELECT level, lang, source, feature, b, count(*) AS n FROM leveled GROUP BY ALL)
+  SELECT lang, source, feature, b, sum(w) OVER (PARTITION BY lang, source, feature ORDER BY b) AS upto,
+         (t0 + {PRIOR}) * (t1 + {PRIOR}) * t2 AS total
+  FROM (SELECT lang, source, feature, b, t0, t1, t2, sum(w)::HUGEINT AS w FROM weighted GROUP BY ALL)
 ), valued AS (
   SELECT *, CASE WHEN b = {ZERO} THEN 0.0::DOUBLE ELSE 2 * pow({GAMMA!r}::DOUBLE, b) / ({GAMMA!r}::DOUBLE + 1) END AS v FROM ranks
 ), quartiles AS (
-  SELECT level, lang, source, feature, max(total) AS members,
-         min(v) FILTER (WHERE upto >= 0.25 * total) AS q1, min(v) FILTER (WHERE upto >= 0.75 * total) AS q3
+  SELECT lang, source, feature, min(v) FILTER (WHERE 4 * upto >= total) AS q1, min(v) FILTER (WHERE 4 * upto >= 3 * total) AS q3
   FROM valued GROUP BY ALL
 ), fenced AS (
   SELECT *, q3 + {REACH} * greatest(q3 - q1, {spread}) AS hi, q1 - {REACH} * greatest(q3 - q1, {spread}) AS lo FROM quartiles
-), chosen AS (
-  SELECT g.lang, g.source, f.* EXCLUDE (lang, source)
-  FROM (SELECT DISTINCT lang, source FROM fenced WHERE level = 0) g
-  JOIN fenced f ON (f.level = 2 OR (f.members >= {MIN_GROUP} AND f.lang IS NOT DISTINCT FROM g.lang
-                    AND (f.level = 1 OR f.source IS NOT DISTINCT FROM g.source)))
-  QUALIFY f.level = min(f.level) OVER (PARTITION BY g.lang, g.source, f.feature)
 )
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
        NOT base_failed AND coalesce({high} AND {low}, false) AS kept
-FROM based d LEFT JOIN chosen c ON c.lang IS NOT DISTINCT FROM d.lang AND c.source IS NOT DISTINCT FROM d.source
+FROM based d LEFT JOIN fenced c ON c.lang IS NOT DISTINCT FROM d.lang AND c.source IS NOT DISTINCT FROM d.source
 GROUP BY doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed
 """
 

@@ -13,7 +13,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from pagetrail.llm import audit, manifest, nearest
+from pagetrail.llm import audit, manifest, nearest, rules
 
 SCHEMA = "doc_id long, text string, source string, lang string, n_chars long"
 COMMON = [(40, "copied\ntext", "hot", "en", 11)] * 60
@@ -254,3 +254,25 @@ def test_bounds_prune_nodes_and_hold():
     assert nearest.products(*large).tolist() == [[(1 << 61) + 3]]
     with pytest.raises(ValueError):
         nearest.products(large[0], large[0])
+
+
+def prose(length: int, longer: int) -> str:
+    """60 words, so many of them longer by three."""
+    return " ".join(f"w{i:0{length - 1 + 3 * (i < longer)}d}" for i in range(60))
+
+
+def test_thresholds_do_not_jump_with_the_size_of_a_group(spark):
+    """The same mix of short and long words with one document more or less around the prior."""
+    many = [(1000 + i, prose(5, i % 60), "en", "big") for i in range(600)]
+    found = {}
+    for n in (1, 199, 200, 201):
+        small = [(i, prose(7, (7 * i) % 60), "en", "small") for i in range(n)]
+        rows = spark.createDataFrame(many + small, "doc_id long, text string, lang string, source string")
+        limits = rules.fences(rules.sketches(rules.count_texts(rows)))
+        found[n] = limits.where("source = 'small'").first()["word_length_high"]
+    # a quartile may move by one bucket, two hundredths, and counts five times in a threshold
+    assert found[199] == pytest.approx(found[200], rel=0.06)
+    assert found[200] == pytest.approx(found[201], rel=0.06)
+    assert found[1] < found[199]  # one document is judged as its language is, many as themselves
+    by_hand = rules.fences(rules.sketches(rules.count_texts(rows.where("false"))))
+    assert by_hand.collect() == []
