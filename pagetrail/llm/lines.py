@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .storage import prepare, stored
+from .storage import prepare, stored, with_plain_names
 from .words import SPACES
 
 NO_ID = -(2**63)
@@ -46,9 +46,14 @@ def line_dedup(docs: DataFrame, min_chars: int = 40, min_docs: int = 5) -> DataF
     ``docs`` has ``doc_id`` and ``text``; all its columns are returned, with the new text, ``n_lines`` and
     ``n_dropped`` (which replace columns of that name). A null or empty text is one empty line and
     comes back as it is. Rows with equal ids are one document; rows without an id are one document,
-    below all others. Repeated rows stay.
+    below all others. Repeated rows stay, an empty table stays empty. Other columns may have any names.
     """
-    spark = prepare(docs.sparkSession)
+    docs = docs.drop("n_lines", "n_dropped")
+    return with_plain_names(docs, ("doc_id", "text"), lambda plain: _line_dedup(plain, min_chars, min_docs))
+
+
+def _line_dedup(docs: DataFrame, min_chars: int, min_docs: int) -> DataFrame:
+    prepare(docs.sparkSession)
 
     def explode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -75,7 +80,7 @@ def line_dedup(docs: DataFrame, min_chars: int = 40, min_docs: int = 5) -> DataF
         .groupBy(F.col("doc").alias("__doc"))
         .agg(F.collect_set("line").alias("__lines"))
     )
-    columns = [c for c in docs.columns if c not in ("n_lines", "n_dropped")]
+    columns = docs.columns
     schema = T.StructType(
         [T.StructField(f.name, f.dataType) for f in docs.select(*columns).schema]
         + [T.StructField("n_lines", T.LongType()), T.StructField("n_dropped", T.LongType())]

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .storage import prepare
+from .storage import prepare, with_plain_names
 from .words import groups
 
 #: Labelled documents of each class that the model learns from at most: half of them go into the class's
@@ -73,7 +73,8 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
 
     Ids are chosen first; only one text of each chosen id comes to the driver, if its rows differ that with the smallest
     hash. The calibration weighs classes as they
-    occur among all labels. With labels of one class only, every text gets the share of that class.
+    occur among all labels. With labels of one class only, every text gets the share of that class; a row that is
+    labelled both ways counts in both.
     """
     prepare(docs.sparkSession)
     labels = labels.select(F.col("doc_id").alias("id"), F.col("quality").cast("int").alias("label"))
@@ -105,10 +106,15 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
 def score(docs: DataFrame, model: Model, columns: list[str] | None = None) -> DataFrame:
     """``columns`` of ``docs`` (by default all) and ``score``, the probability that the text's quality is 1.
 
-    Only ``text`` decides, as a whole. A null text scores as an empty one. Every row gives a row. A
-    column named ``score`` is replaced.
+    Only ``text`` decides, as a whole. A null text scores as an empty one. Every row gives a row, an empty table
+    stays empty. A column named ``score`` is replaced; other columns may have any names.
     """
-    kept = [c for c in (columns or docs.columns) if c != "score"]
+    docs = docs.drop("score")
+    wanted = [docs.columns.index(c) for c in columns or docs.columns if c != "score"]
+    return with_plain_names(docs, ("text",), lambda plain: _score(plain, model, [plain.columns[k] for k in wanted]))
+
+
+def _score(docs: DataFrame, model: Model, kept: list[str]) -> DataFrame:
     fields = docs.select(*kept).schema.fields
     schema = T.StructType([T.StructField(f.name, f.dataType) for f in fields] + [T.StructField("score", T.DoubleType())])
     # the text comes last, once more, so that it need not be among the columns

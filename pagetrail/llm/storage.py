@@ -5,6 +5,7 @@ from __future__ import annotations
 import functools
 import tempfile
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -42,3 +43,12 @@ def stored(frame: DataFrame, name: str) -> DataFrame:
     path = f"{shared_folder(frame.sparkSession)}/{name}-{uuid.uuid4()}"
     frame.write.parquet(path)
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
+
+
+def with_plain_names(docs: DataFrame, own: tuple[str, ...], work: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """``work`` on ``docs`` with all columns but its ``own`` renamed to c0, c1, ...; they get their names back. So
+    other columns may have any names, with dots and quotes, or those that the work uses itself."""
+    plain = [name if name in own else f"c{k}" for k, name in enumerate(docs.columns)]
+    done = work(docs.toDF(*plain))
+    names = dict(zip(plain, docs.columns))
+    return done.toDF(*[names.get(c, c) for c in done.columns])

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .lines import NO_ID
-from .storage import prepare, stored
+from .storage import prepare, stored, with_plain_names
 from .words import Words, find_words, gram_hashes, groups, mix
 
 #: Words of a window.
@@ -266,10 +266,16 @@ def substring_dedup(docs: DataFrame) -> DataFrame:
     ``docs`` has ``doc_id`` and ``text``; all its columns are returned, with the new text (the kept words,
     joined by one space; a text that loses nothing stays as it is), ``n_words`` and ``n_removed`` (which replace
     columns of that name). Null and empty texts have no words and stay. Rows with equal ids are one
-    document, rows without an id a document before all others. Repeated rows stay.
+    document, rows without an id a document before all others. Repeated rows stay, an empty table stays empty.
+    Other columns may have any names.
     """
+    docs = docs.drop("n_words", "n_removed")
+    return with_plain_names(docs, ("doc_id", "text"), _substring_dedup)
+
+
+def _substring_dedup(docs: DataFrame) -> DataFrame:
     prepare(docs.sparkSession)
-    columns = [c for c in docs.columns if c not in ("n_words", "n_removed")]
+    columns = docs.columns
     own_id = F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID))
     version = F.xxhash64("text")
     spans = repeated_spans(docs.select(own_id.alias("doc"), version.alias("version"), "text"))

@@ -16,6 +16,7 @@ import pyarrow.parquet as pq
 import pytest
 import xxhash
 from conftest import SF_DIR
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
@@ -401,6 +402,28 @@ def test_operators_keep_rows_of_edge_cases(spark, edges, empty):
     assert packed.duplicated(["sequence_id", "offset"]).sum() == 0
 
 
+def test_other_columns_may_have_any_names(spark):
+    line = "A line that is long enough to be counted as common."
+    rows = [(i, f"{line}\n{PASSAGE}\nown {i}") for i in range(6)] + [(None, None), (9, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    names = ["__text", "__key", "__doc", "__lines", "__version", "__spans", "a.b", "c`d", "c0", "doc", "n_dropped", "n_removed", "score"]
+    odd = docs.select("*", *[F.col("doc_id").cast("string").alias(n) for n in names])
+    kept = [n for n in names if n not in ("n_dropped", "n_removed", "score")]
+    labels = spark.createDataFrame([(1, 1, 0), (2, 0, 0)], "doc_id long, quality int, toxic int")
+    model = quality.train(docs, labels)
+    for work, new in (
+        (lines.line_dedup, ["n_lines", "n_dropped"]),
+        (substrings.substring_dedup, ["n_words", "n_removed"]),
+        (lambda d: quality.score(d, model), ["score"]),
+    ):
+        plain, found = work(docs).collect(), work(odd).collect()
+        own = ["doc_id", "text", *new]
+        assert sorted(str([r[c] for c in own]) for r in found) == sorted(str([r[c] for c in own]) for r in plain)
+        for r in found:
+            assert {r[n] for n in kept} == {None if r["doc_id"] is None else str(r["doc_id"])}
+    assert set(quality.score(odd, model, ["a.b"]).columns) == {"a.b", "score"}
+
+
 def test_substrings_of_edge_cases(edges):
     found = substrings.substring_dedup(edges).toPandas()
     # the row without an id comes first: it keeps the passage, the others lose it
