@@ -6,7 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .graphs import components
@@ -25,6 +25,9 @@ CHUNK = 4
 #: chance that no chunk has at most one error is 0.262 ** 10, or 2 in a million.
 CHUNK_ERRORS = 1
 
+#: Words of 64 bits in the parity sketch of a set.
+PARITY = 16
+
 _SEEDS = mix(np.arange(1, CHUNKS * CHUNK + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 _FACTORS = mix(_SEEDS + np.uint64(17)) | np.uint64(1)
 
@@ -142,38 +145,73 @@ def _shingle_rows(docs: DataFrame) -> DataFrame:
     return rows.mapInArrow(compute, "doc long, version long, n long, component long, shingle long")
 
 
+def _parity(word: int) -> Column:
+    """SQL aggregate: one word of a set's parity sketch, in which each shingle turns one bit."""
+    bit = "shiftleft(1L, cast(pmod(shiftright(shingle, 8), 64) AS int))"
+    return F.expr(f"bit_xor(CASE WHEN pmod(shingle, {PARITY}) = {word} THEN {bit} ELSE 0L END)")
+
+
 def pairs_across(docs: DataFrame) -> DataFrame:
-    """Pairs (a, b) of ``docs`` (doc, text, component) in different components that may be similar: a prefix
-    join, which misses none.
+    """Pairs (a, b, share) of ``docs`` (doc, text, component) in different components that may be similar: a
+    prefix join, which misses none. At least ``share`` of their shingles is in one of the two only.
 
     Two sets that are similar share a shingle among the rarest quarter of each. Let each set be sorted by
     rareness, those that no other has first. At the rarest shingle that two sets share, what is left of either
     must hold all that they share; pairs are formed only where that suffices. So a document with many changes
     of its own does not meet the others of its family through their common, hot shingles. Of a
     hot shingle, only documents outside of its largest component are paired with the others.
+
+    Shingles that only one document has are in the difference of any two sets, and so are at least as many others as
+    bits in which the parity sketches differ: a shingle in both turns the same bit twice. Pairs whose difference
+    is too large by that bound do not leave the join. The bound holds for sets of any size; it is close where the
+    difference is below some 500 shingles.
     """
     rows = stored(_shingle_rows(docs), "shingles")
     counts = stored(rows.groupBy("shingle").agg(F.count("*").alias("count")).where("count > 1"), "counts")
     shared = rows.join(counts, "shingle").groupBy("doc", "version", "n", "component")
-    shared = shared.agg(F.sort_array(F.collect_list(F.struct("count", "shingle"))).alias("list"), F.count("*").alias("s"))
+    sketch_words = [f"odd_{i}" for i in range(PARITY)]
+    shared = shared.agg(
+        F.sort_array(F.collect_list(F.struct("count", "shingle"))).alias("list"),
+        F.count("*").alias("s"),
+        *[_parity(i).alias(word) for i, word in enumerate(sketch_words)],
+    )
     needed = f"cast(({SIMILAR} * n + 99) div 100 as int)"
     prefix = shared.where(f"s >= {needed}").select(
-        "doc", "n", "s", "component", F.posexplode(F.expr(f"slice(list, 1, int(s) - {needed} + 1)")).alias("at", "e")
+        "doc", "n", "s", "component", *sketch_words, F.posexplode(F.expr(f"slice(list, 1, int(s) - {needed} + 1)")).alias("at", "e")
     )
     # what is left of the document from here on, in the order of rareness
-    prefix = prefix.select("doc", "n", (F.col("s") - F.col("at")).alias("left"), "component", "e.shingle")
+    alone, left = F.col("n") - F.col("s"), F.col("s") - F.col("at")
+    prefix = prefix.select("doc", "n", alone.alias("alone"), left.alias("left"), "component", "e.shingle", *sketch_words)
     prefix = stored(prefix, "prefix")
     sizes = prefix.groupBy("shingle", "component").agg(F.count("*").alias("size")).groupBy("shingle")
     largest = F.max(F.struct("size", "component"))["component"].alias("main")
     several = stored(sizes.agg(largest, F.count("*").alias("parts")).where("parts > 1").select("shingle", "main"), "main")
     prefix = stored(prefix.join(several, "shingle"), "prefix")
-    left = prefix.where("component <> main").select("shingle", "doc", "n", "left", "component")
-    right = prefix.toDF("shingle", "doc_2", "n_2", "left_2", "component_2", "main")
+    left = prefix.where("component <> main").drop("main")
+    right = prefix.toDF(*[c if c in ("shingle", "main") else f"{c}_2" for c in prefix.columns])
     both = f"{100 + SIMILAR} * least(left, left_2) >= {SIMILAR} * (n + n_2)"
+    turned = " + ".join(f"bit_count({word} ^ {word}_2)" for word in sketch_words)
+    differ = f"(alone + alone_2 + {turned})"
+    near = f"{100 + SIMILAR} * {differ} <= {100 - SIMILAR} * (n + n_2)"
     pairs = left.join(right, "shingle").where(
-        f"component <> component_2 and (component_2 = main or doc < doc_2) and {both}"
+        f"component <> component_2 and (component_2 = main or doc < doc_2) and {both} and {near}"
     )
-    return pairs.select(F.least("doc", "doc_2").alias("a"), F.greatest("doc", "doc_2").alias("b")).distinct()
+    share = F.expr(f"{differ} / (n + n_2)").alias("share")
+    pairs = pairs.select(F.least("doc", "doc_2").alias("a"), F.greatest("doc", "doc_2").alias("b"), share)
+    return pairs.groupBy("a", "b").agg(F.min("share").alias("share"))
+
+
+def closest(pairs: DataFrame) -> DataFrame:
+    """Of each document in ``pairs`` (a, b, share) the pair (a, b) with the smallest share of differing shingles."""
+    ends = pairs.select(F.explode(F.array("a", "b")).alias("doc"), F.struct("share", "a", "b").alias("pair"))
+    return ends.groupBy("doc").agg(F.min("pair").alias("pair")).select("pair.a", "pair.b").distinct()
+
+
+def between(pairs: DataFrame, labels: DataFrame) -> DataFrame:
+    """The pairs (a, b) of documents in different components; ``labels`` has node and component."""
+    of_a, of_b = labels.toDF("a", "component_a"), labels.toDF("b", "component_b")
+    placed = pairs.join(of_a, "a", "left").join(of_b, "b", "left")
+    return placed.where("coalesce(component_a, a) <> coalesce(component_b, b)").select("a", "b")
 
 
 def _close_sizes(a: str, b: str) -> str:
@@ -193,8 +231,9 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     3. In each bucket of a key, every class is compared with the smallest one, on full sets: a star instead of
        all pairs. Components of these links follow.
     4. What a star can miss: classes in buckets that still hold several components go through an exact
-       join for pairs of different components (``pairs_across``). With it, every similar pair that shares
-       a key is linked or already connected.
+       join for pairs of different components (``pairs_across``). Each document is compared with its closest
+       partner first, then all pairs that are still apart are compared. With it, every similar pair that
+       shares a key is linked or already connected.
 
     Texts of classes that share a bucket are stored once and joined to the pairs. A null or empty text, or one
     without words, has no shingle and is linked with nothing. Rows with the same id are one document. A row
@@ -229,10 +268,12 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     open_keys = rest.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"))
     open_keys = stored(open_keys.where("low <> high").select("key"), "open")
     rest = rest.join(open_keys, "key").select("doc", "component").distinct()
-    across = pairs_across(texts.join(rest, "doc"))
-    more = stored(similar(across, texts), "links")
-    if not more.isEmpty():
-        labels = stored(components(links.unionByName(more)), "labels")
+    across = stored(pairs_across(texts.join(rest, "doc")), "across")
+    for choose in (closest, lambda pairs: between(pairs, labels)):
+        more = stored(similar(choose(across), texts), "links")
+        if not more.isEmpty():
+            links = links.unionByName(more)
+            labels = stored(components(links), "labels")
 
     found = classes.join(labels, F.col("first") == F.col("node"), "left")
     found = stored(found.select(*set_key, F.coalesce("component", "first").alias("class_component")), "found")
