@@ -27,6 +27,8 @@ CHUNK_ERRORS = 1
 
 #: Words of 64 bits in the parity sketch of a set.
 PARITY = 16
+#: Rarest shingles of a set that go along with each shingle of its prefix.
+FRONT = 16
 
 _SEEDS = mix(np.arange(1, CHUNKS * CHUNK + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 _FACTORS = mix(_SEEDS + np.uint64(17)) | np.uint64(1)
@@ -151,9 +153,10 @@ def _parity(word: int) -> Column:
     return F.expr(f"bit_xor(CASE WHEN pmod(shingle, {PARITY}) = {word} THEN {bit} ELSE 0L END)")
 
 
-def pairs_across(docs: DataFrame) -> DataFrame:
+def pairs_formed(docs: DataFrame) -> DataFrame:
     """Pairs (a, b, share) of ``docs`` (doc, text, component) in different components that may be similar: a
-    prefix join, which misses none. At least ``share`` of their shingles is in one of the two only.
+    prefix join, which misses none. At least ``share`` of their shingles is in one of the two only. A pair may
+    come more than once.
 
     Two sets that are similar share a shingle among the rarest quarter of each. Let each set be sorted by
     rareness, those that no other has first. At the rarest shingle that two sets share, what is left of either
@@ -161,6 +164,11 @@ def pairs_across(docs: DataFrame) -> DataFrame:
     of its own does not meet the others of its family through their common, hot shingles. Of a
     hot shingle, only documents outside of its largest component are paired with the others.
 
+    A pair needs to be formed once, at the rarest shingle that both sets have. Each row of the join carries the
+    rarest ``FRONT`` shingles of its set: if two sets share one of them, they are paired there and nowhere else,
+    as any shingle outside of a set's front comes later in the common order. Only pairs whose fronts are disjoint
+    can be formed several times.
+
     Shingles that only one document has are in the difference of any two sets, and so are at least as many others as
     bits in which the parity sketches differ: a shingle in both turns the same bit twice. Pairs whose difference
     is too large by that bound do not leave the join. The bound holds for sets of any size; it is close where the
@@ -176,12 +184,12 @@ def pairs_across(docs: DataFrame) -> DataFrame:
         *[_parity(i).alias(word) for i, word in enumerate(sketch_words)],
     )
     needed = f"cast(({SIMILAR} * n + 99) div 100 as int)"
-    prefix = shared.where(f"s >= {needed}").select(
-        "doc", "n", "s", "component", *sketch_words, F.posexplode(F.expr(f"slice(list, 1, int(s) - {needed} + 1)")).alias("at", "e")
-    )
+    shared = shared.where(f"s >= {needed}").withColumn("list", F.expr(f"slice(list, 1, int(s) - {needed} + 1)"))
+    front = F.expr(f"slice(list.shingle, 1, {FRONT})").alias("front")
+    prefix = shared.select("doc", "n", "s", "component", *sketch_words, front, F.posexplode("list").alias("at", "e"))
     # what is left of the document from here on, in the order of rareness
     alone, left = F.col("n") - F.col("s"), F.col("s") - F.col("at")
-    prefix = prefix.select("doc", "n", alone.alias("alone"), left.alias("left"), "component", "e.shingle", *sketch_words)
+    prefix = prefix.select("doc", "n", alone.alias("alone"), left.alias("left"), "component", "e.shingle", "front", *sketch_words)
     prefix = stored(prefix, "prefix")
     sizes = prefix.groupBy("shingle", "component").agg(F.count("*").alias("size")).groupBy("shingle")
     largest = F.max(F.struct("size", "component"))["component"].alias("main")
@@ -193,12 +201,17 @@ def pairs_across(docs: DataFrame) -> DataFrame:
     turned = " + ".join(f"bit_count({word} ^ {word}_2)" for word in sketch_words)
     differ = f"(alone + alone_2 + {turned})"
     near = f"{100 + SIMILAR} * {differ} <= {100 - SIMILAR} * (n + n_2)"
+    rarest = "coalesce(get(array_intersect(front, front_2), 0), shingle) = shingle"
     pairs = left.join(right, "shingle").where(
-        f"component <> component_2 and (component_2 = main or doc < doc_2) and {both} and {near}"
+        f"component <> component_2 and (component_2 = main or doc < doc_2) and {both} and {near} and {rarest}"
     )
     share = F.expr(f"{differ} / (n + n_2)").alias("share")
-    pairs = pairs.select(F.least("doc", "doc_2").alias("a"), F.greatest("doc", "doc_2").alias("b"), share)
-    return pairs.groupBy("a", "b").agg(F.min("share").alias("share"))
+    return pairs.select(F.least("doc", "doc_2").alias("a"), F.greatest("doc", "doc_2").alias("b"), share)
+
+
+def pairs_across(docs: DataFrame) -> DataFrame:
+    """Each of ``pairs_formed`` once."""
+    return pairs_formed(docs).groupBy("a", "b").agg(F.min("share").alias("share"))
 
 
 def closest(pairs: DataFrame) -> DataFrame:

@@ -53,6 +53,17 @@ def test_join_misses_no_similar_pair(spark, families, links):
         assert p.share <= len(sets[p.a] ^ sets[p.b]) / (len(sets[p.a]) + len(sets[p.b])) + 1e-12
 
 
+def test_pairs_are_formed_at_their_rarest_shingle(spark, families, monkeypatch):
+    docs = spark.createDataFrame([(d, t, d) for d, t in families], "doc long, text string, component long")
+    formed = {}
+    for front in (0, neardup.FRONT, 10_000):  # the last is longer than any prefix
+        monkeypatch.setattr(neardup, "FRONT", front)
+        formed[front] = sorted(map(tuple, neardup.pairs_formed(docs).collect()))
+    none, some, whole = formed.values()
+    assert set(none) == set(some) == set(whole)
+    assert len(whole) == len(set(whole)) < len(some) < len(none)
+
+
 def test_components_against_all_pairs(spark, families, links):
     label = {doc: doc for doc, _ in families}
     for _ in families:
