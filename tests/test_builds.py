@@ -3,15 +3,18 @@
 from __future__ import annotations
 
 import re
+from datetime import datetime, timedelta
 
 import pytest
 from conftest import SF_DIR
 from pyspark.sql import functions as F
 
+import __spark_entry__ as registry
 from pagetrail.plans import events, jobs, reports, sessions
 from pagetrail.plans.core import EventCore, store_core
 from pagetrail.sources.export import read_export, read_shards, save_table, write_export
 from pagetrail.sources.files import current_run, load_table, names_in
+from pagetrail.sources.testsite import TABLES
 from pagetrail.sources.testsite import testsite_export as site_export
 
 
@@ -270,3 +273,45 @@ def test_no_python_and_no_cross_join(spark, raw, bare_planning):
         plan = plan_of(spark, mart(EventCore(raw)))
         for word in ("Python", "CartesianProduct", "BroadcastNestedLoop", "SinglePartition"):
             assert word not in plan, (name, word)
+
+
+@pytest.fixture(scope="module")
+def few(spark, tmp_path_factory):
+    """Site tables of a few rows; one event, page and part have no id, one part is there twice."""
+    at = datetime(2024, 1, 1)
+    kinds = ["purchase", "view", "click", "signup", "error"]
+    numbers = [None, *range(40)]
+    rows = {
+        "events": [(n, at + timedelta(minutes=i), i % 3, kinds[i % 5], 1.0, f'{{"k": {i}}}') for i, n in enumerate(numbers)],
+        "pages": [(n, f"https://a.org/{n}") for n in (None, 0, 1, 2)],
+        "part": [(n, f"n{n}", "b", "t", 1, 2.0) for n in (None, 0, 1, 2, 3, 3)],
+    }
+    folder = str(tmp_path_factory.mktemp("site"))
+    for name, values in rows.items():
+        spark.createDataFrame(values, TABLES[name].replace("timestamp_ntz", "timestamp")).selectExpr(
+            *[f"cast({c} AS {kind}) AS {c}" for c, kind in (field.split() for field in TABLES[name].split(", "))]
+        ).write.parquet(f"{folder}/{name}.parquet")
+    return folder
+
+
+def test_items_are_the_parts_of_the_event(spark, few):
+    """Also with parts that are missing, repeated or without an id."""
+    found = site_export(spark, few, params=False).filter("event_name = 'purchase'").select("items.item_name").collect()
+    expected = [None]  # the event without an id
+    for event in range(40):
+        k, first = event + 1, event * 3 % 6
+        if k % 5 == 0:
+            parts = sorted((j, p) for p in (0, 1, 2, 3, 3) for j in range(3) if (p - j) % 6 == first)
+            expected.append([f"n{p}" for _, p in parts[: 1 + k % 3]] or None)
+    assert sorted(map(str, (r[0] for r in found))) == sorted(map(str, expected))
+
+
+@pytest.mark.parametrize("name", ["content_performance"])
+def test_grouped_parts_are_not_broadcast(spark, few, name):
+    """However small the file of the parts is: the driver would hold all of them."""
+    lines = plan_of(spark, registry.queries()[name](spark, few)).splitlines()
+    grouped = [i for i, line in enumerate(lines) if " collect_list(" in line or "[collect_list(" in line]
+    assert grouped
+    for at in grouped:
+        path = above("\n".join(lines[: at + 1]), "collect_list(")
+        assert "SortMergeJoin" in next(line for line in path if "Join" in line)
