@@ -306,7 +306,7 @@ def test_items_are_the_parts_of_the_event(spark, few):
     assert sorted(map(str, (r[0] for r in found))) == sorted(map(str, expected))
 
 
-@pytest.mark.parametrize("name", ["content_performance", "daily_overview", "daily_trend", "dim_items"])
+@pytest.mark.parametrize("name", ["content_performance", "daily_overview", "daily_trend", "dim_items", "item_performance"])
 def test_grouped_parts_are_not_broadcast(spark, few, name):
     """However small the file of the parts is: the driver would hold all of them."""
     lines = plan_of(spark, registry.queries()[name](spark, few)).splitlines()
