@@ -315,3 +315,11 @@ def test_grouped_parts_are_not_broadcast(spark, few, name):
     for at in grouped:
         path = above("\n".join(lines[: at + 1]), "collect_list(")
         assert "SortMergeJoin" in next(line for line in path if "Join" in line)
+
+
+@pytest.mark.parametrize("name", ["item_performance", "user_journey"])
+def test_units_are_not_broadcast(spark, few, name):
+    """However small the file of the events is: the driver would hold a row for each minute of each user."""
+    lines = plan_of(spark, registry.queries()[name](spark, few)).splitlines()
+    joins = [line for line in lines if re.search(r"Join \[user_key#\d+, slice#\d+L\]", line)]
+    assert len(joins) == 1 and "SortMergeJoin" in joins[0]
